@@ -60,7 +60,12 @@ def iq_trades(store: DataFrame, existing: DataFrame | None = None, scope: str =
     if scope not in ("history", "batch"):
         raise ValueError(f"scope must be 'history' or 'batch', not {scope!r}")
     fresh = store if existing is None else not_yet_in(store, existing, ["trade_id"])
-    stats = client_trade_stats(store if scope == "history" else fresh)
+    measured = fresh if scope == "batch" else store
+    if scope == "history" and existing is not None:
+        # only clients with new trades need their history measured
+        touched = fresh.select(F.col("client_id").alias("touched_client")).distinct()
+        measured = store.join(touched, F.col("client_id").eqNullSafe(F.col("touched_client")), "left_semi")
+    stats = client_trade_stats(measured)
     stats = stats.withColumnRenamed("client_id", "stat_client").withColumnRenamed("underlying", "stat_underlying")
     same_pair = F.col("client_id").eqNullSafe(F.col("stat_client")) & F.col("underlying").eqNullSafe(
         F.col("stat_underlying")

@@ -8,6 +8,7 @@ instead of recompute. The rest are plain plans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +32,16 @@ class SurveillanceViews:
             _stage_roots[run] = scratch_path(spark, "stages")
         self.root = _stage_roots[run]
 
-    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+    def stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A stored table, made and written on first use."""
         path = f"{self.root}/{name}"
         if path not in _written:
-            df.write.mode("overwrite").parquet(path)
+            make().write.mode("overwrite").parquet(path)
             _written.add(path)
         return self.spark.read.parquet(path)
 
     def _feed(self, name: str) -> DataFrame:
-        return self._stage(name, feed_view(self.spark, self.sf_dir, name))
+        return self.stage(name, lambda: feed_view(self.spark, self.sf_dir, name))
 
     @cached_property
     def trades(self) -> DataFrame:
@@ -81,27 +83,27 @@ class SurveillanceViews:
 
     @cached_property
     def base(self) -> DataFrame:
-        return self._stage("feature_trade_base", self.base_plan())
+        return self.stage("feature_trade_base", self.base_plan)
 
     @cached_property
     def hop1(self) -> DataFrame:
-        return self._stage("feature_client_hop1", self.hop1_plan())
+        return self.stage("feature_client_hop1", self.hop1_plan)
 
     @cached_property
     def hop3(self) -> DataFrame:
-        return self._stage("feature_client_hop3", self.hop3_plan())
+        return self.stage("feature_client_hop3", self.hop3_plan)
 
     @cached_property
     def proximity(self) -> DataFrame:
-        return self._stage("feature_event_proximity", self.proximity_plan())
+        return self.stage("feature_event_proximity", self.proximity_plan)
 
     @cached_property
     def store(self) -> DataFrame:
-        return self._stage("feature_store_trade_ml", self.store_plan())
+        return self.stage("feature_store_trade_ml", self.store_plan)
 
     @cached_property
     def iq_trades(self) -> DataFrame:
-        return self._stage("iq_trades", self.iq_trades_plan())
+        return self.stage("iq_trades", self.iq_trades_plan)
 
     @cached_property
     def iq_events(self) -> DataFrame:
@@ -121,4 +123,4 @@ class SurveillanceViews:
 
     @cached_property
     def connections(self) -> DataFrame:
-        return graph.connected_to(self.relationships, self.clients)
+        return self.stage("graph_connected_to", lambda: graph.connected_to(self.relationships, self.clients))
