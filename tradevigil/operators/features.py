@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tradevigil.functions import columns as fx
-from tradevigil.operators.joins import not_yet_in, pair_join
+from tradevigil.operators.joins import PAIRS_PER_TASK, counted_grid, hot_grid, not_yet_in, pair_join, rows_per_key
 from tradevigil.schemas import EVENT_HORIZON_DAYS, MONEY, NO_EVENT_DAYS, RATE, UNITS
 
 HOP1_COLUMNS = ("out_degree", "in_degree", "distinct_neighbors_1hop", "has_1hop_link")
@@ -191,16 +191,23 @@ def client_hop3(clients: DataFrame, relationships: DataFrame) -> DataFrame:
     )
 
 
-def three_hop_walks(relationships: DataFrame) -> DataFrame:
+def three_hop_walks(relationships: DataFrame, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """The walks themselves, one row each: for listing, not for counting."""
     first = relationships.select(F.col("from_client").alias("root_client"), F.col("to_client").alias("hop1_client"))
     second = relationships.select(F.col("from_client").alias("hop1_client"), F.col("to_client").alias("hop2_client"))
     third = relationships.select(F.col("from_client").alias("hop2_client"), F.col("to_client").alias("hop3_client"))
-    two = pair_join(first, second, ["hop1_client"], ["root_client"], ["hop2_client"])
-    # walks reaching a client in two steps, from the link counts instead of the walks
-    into = first.groupBy("hop1_client").agg(F.count(F.lit(1)).alias("inward"))
+    two = pair_join(
+        first, second, ["hop1_client"], ["root_client"], ["hop2_client"],
+        counted_grid(first, second, ["hop1_client"], pairs_per_task),
+    )
+    # walks that reach a client in two steps, from link counts instead of the walks
+    into = rows_per_key(first, ["hop1_client"], "inward")
     arriving = second.join(into, "hop1_client").groupBy("hop2_client").agg(F.sum("inward").alias("left_rows"))
-    three = pair_join(two, third, ["hop2_client"], ["root_client", "hop1_client"], ["hop3_client"], left_counts=arriving)
+    leaving = rows_per_key(third, ["hop2_client"], "right_rows")
+    three = pair_join(
+        two, third, ["hop2_client"], ["root_client", "hop1_client"], ["hop3_client"],
+        hot_grid(arriving, leaving, ["hop2_client"], pairs_per_task),
+    )
     return three.select(
         "root_client",
         "hop1_client",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tradevigil.functions import columns as fx
-from tradevigil.operators.joins import one_per_key, pair_join
+from tradevigil.operators.joins import PAIRS_PER_TASK, hot_grid, most_rows, one_per_key, pair_join, rows_per_key
 
 MAX_HOPS = 3
 CLUSTER_PEERS = 2
@@ -185,36 +185,63 @@ def _walks_by_hop(links: DataFrame, at: str, hops: int) -> list[DataFrame]:
     return every
 
 
-def _step(links: DataFrame, reached: DataFrame, inward: DataFrame, onward: DataFrame) -> DataFrame:
-    """All (link start -> root, then reached root -> peer), cut where a middle client is a hub."""
-    return pair_join(
-        links.select(F.col("src").alias("start"), F.col("dst").alias("root"), "m", "relationship"),
-        reached,
+def _most_in(links: DataFrame) -> int:
+    return most_rows(links, ["dst"])
+
+
+def _most_out(links: DataFrame) -> int:
+    return most_rows(links, ["src"])
+
+
+def _hubs(links: DataFrame, max_hops: int, pairs_per_task: int) -> DataFrame | None:
+    """Grid for the middle clients of a step: links in, times walks on (the longest counted).
+
+    The largest degrees bound the products; only where that bound is too weak to
+    rule hubs out are the products worked out client by client.
+    """
+    if max_hops < 2 or _most_in(links) * _most_out(links) ** (max_hops - 1) <= pairs_per_task:
+        return None
+    (inward,) = _walks_by_hop(links, "dst", 1)
+    onward = _union(_walks_by_hop(links, "src", max_hops - 1))
+    return hot_grid(
+        inward.select(F.col("client").alias("root"), F.col("walks").alias("left_rows")),
+        onward.groupBy(F.col("client").alias("root")).agg(F.max("walks").alias("right_rows")),
         ["root"],
-        ["start"],
-        ["peer"],
-        left_counts=inward.select(F.col("client").alias("root"), F.col("walks").alias("left_rows")),
-        right_counts=onward.select(F.col("client").alias("root"), F.col("walks").alias("right_rows")),
+        pairs_per_task,
     )
 
 
+def _step(links: DataFrame, reached: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """All (link start -> root, then reached root -> peer), cut where a middle client is a hub."""
+    onto = links.select(F.col("src").alias("start"), F.col("dst").alias("root"), "m", "relationship")
+    return pair_join(onto, reached, ["root"], ["start"], ["peer"], hubs)
+
+
 def _last_hop(links: DataFrame, targets: DataFrame | None) -> DataFrame:
     last = links.select(F.col("src").alias("root"), F.col("dst").alias("peer"), "m", "relationship")
     return last if targets is None else last.join(targets.select(F.col("client_id").alias("peer")), "peer", "left_semi")
 
 
-def _grow(links: DataFrame, first: DataFrame, max_hops: int, fold) -> list[DataFrame]:
-    """`first` extended backwards hop by hop; `fold` makes each step one row per pair again."""
-    (inward,) = _walks_by_hop(links, "dst", 1)
-    onward = _walks_by_hop(links, "src", max_hops - 1) if max_hops > 1 else []
+def _grow(links: DataFrame, first: DataFrame, max_hops: int, shape, fold, pairs_per_task: int) -> list[DataFrame]:
+    """`first` extended backwards hop by hop.
+
+    `fold` makes a step one row per pair before the next one starts from it; the last
+    step is left as it is, since the caller folds all hops together anyway.
+    """
+    hubs = _hubs(links, max_hops, pairs_per_task)
     reached = [first]
-    for walks in onward:
-        reached.append(fold(_step(links, reached[-1], inward, walks)))
+    for n in range(2, max_hops + 1):
+        rows = shape(_step(links, reached[-1], hubs))
+        reached.append(fold(rows) if n < max_hops else rows)
     return reached
 
 
 def reachable(
-    edges: DataFrame, min_hops: int = 1, max_hops: int = MAX_HOPS, targets: DataFrame | None = None
+    edges: DataFrame,
+    min_hops: int = 1,
+    max_hops: int = MAX_HOPS,
+    targets: DataFrame | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Distinct (root, peer, hops): peers within the hops, with the fewest hops.
 
@@ -224,33 +251,41 @@ def reachable(
     """
     links = _folded(edges)
     first = _last_hop(links, targets).select("root", "peer")
-    hops = _grow(links, first, max_hops, lambda df: df.select(F.col("start").alias("root"), "peer").distinct())
-    pairs = None
-    for n, reached in enumerate(hops, start=1):
-        if n < min_hops:
-            continue
-        at = reached.withColumn("hops", F.lit(n))
-        pairs = at if pairs is None else pairs.unionByName(at)
+    hops = _grow(
+        links,
+        first,
+        max_hops,
+        lambda df: df.select(F.col("start").alias("root"), "peer"),
+        lambda df: df.distinct(),
+        pairs_per_task,
+    )
+    pairs = _union([df.withColumn("hops", F.lit(n)) for n, df in enumerate(hops, start=1) if n >= min_hops])
     return pairs.groupBy("root", "peer").agg(F.min("hops").alias("hops"))
 
 
-def reachable_walks(edges: DataFrame, max_hops: int = MAX_HOPS, targets: DataFrame | None = None) -> DataFrame:
+def reachable_walks(
+    edges: DataFrame, max_hops: int = MAX_HOPS, targets: DataFrame | None = None, pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame:
     """(root, peer, walks): in how many ways a peer is reached, parallel edges included."""
     links = _folded(edges)
     first = _last_hop(links, targets).select("root", "peer", F.col("m").alias("walks"))
 
+    def shape(df: DataFrame) -> DataFrame:
+        return df.select(F.col("start").alias("root"), "peer", (F.col("m") * F.col("walks")).alias("walks"))
+
     def fold(df: DataFrame) -> DataFrame:
-        return df.groupBy(F.col("start").alias("root"), "peer").agg(F.sum(F.col("m") * F.col("walks")).alias("walks"))
+        return df.groupBy("root", "peer").agg(F.sum("walks").alias("walks"))
 
-    every = _union(_grow(links, first, max_hops, fold))
-    return every.groupBy("root", "peer").agg(F.sum("walks").alias("walks"))
+    return fold(_union(_grow(links, first, max_hops, shape, fold, pairs_per_task)))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def relationship_chain(edges: DataFrame, max_hops: int = MAX_HOPS, targets: DataFrame | None = None) -> DataFrame:
+def relationship_chain(
+    edges: DataFrame, max_hops: int = MAX_HOPS, targets: DataFrame | None = None, pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame:
     """(root, peer, hops, chain): the shortest chain of named links, first in text order.
 
     Per hop only the first chain of a pair is kept: what is put before it is the
@@ -263,11 +298,13 @@ def relationship_chain(edges: DataFrame, max_hops: int = MAX_HOPS, targets: Data
 
     first = _last_hop(links, targets).select("root", "peer", F.concat("root", arrow(), "peer").alias("chain"))
 
+    def shape(df: DataFrame) -> DataFrame:
+        return df.select(F.col("start").alias("root"), "peer", F.concat("start", arrow(), "chain").alias("chain"))
+
     def fold(df: DataFrame) -> DataFrame:
-        longer = df.select(F.col("start").alias("root"), "peer", F.concat("start", arrow(), "chain").alias("chain"))
-        return longer.groupBy("root", "peer").agg(F.min("chain").alias("chain"))
+        return df.groupBy("root", "peer").agg(F.min("chain").alias("chain"))
 
-    tails = _grow(links, first, max_hops, fold)
+    tails = _grow(links, first, max_hops, shape, fold, pairs_per_task)
     every = _union([tail.withColumn("hops", F.lit(n)) for n, tail in enumerate(tails, start=1)])
     best = every.groupBy("root", "peer").agg(F.min(F.struct("hops", "chain")).alias("best"))
     return best.select("root", "peer", "best.hops", "best.chain")
@@ -292,37 +329,49 @@ def client_exposure(trades: DataFrame) -> DataFrame:
     )
 
 
-def _peer_exposure(edges: DataFrame, exposure: DataFrame, max_hops: int) -> DataFrame:
+def _peer_exposure(edges: DataFrame, exposure: DataFrame, max_hops: int, pairs_per_task: int) -> DataFrame:
     """Each root with each peer within reach and each underlying the peer holds.
 
     Trades are folded per peer and underlying first, and only peers that hold
     something are searched for.
     """
-    pairs = reachable(edges, 1, max_hops, targets=exposure.select("client_id").distinct())
-    return _join_peers(edges, pairs, exposure, "underlying", max_hops)
+    targets = exposure.select("client_id").distinct()
+    pairs = reachable(edges, 1, max_hops, targets, pairs_per_task)
+    return _join_peers(edges, pairs, exposure, "underlying", max_hops, pairs_per_task)
 
 
-def _join_peers(edges: DataFrame, pairs: DataFrame, holdings: DataFrame, tell_apart: str, max_hops: int) -> DataFrame:
+def _join_peers(
+    edges: DataFrame, pairs: DataFrame, holdings: DataFrame, tell_apart: str, max_hops: int, pairs_per_task: int
+) -> DataFrame:
     """(root, peer) with what the peer holds; walks into a peer bound its number of roots."""
-    into = _union(_walks_by_hop(_folded(edges), "dst", max_hops))
-    roots = into.groupBy(F.col("client").alias("client_id")).agg(F.sum("walks").alias("left_rows"))
-    return pair_join(
-        pairs.withColumnRenamed("peer", "client_id"), holdings, ["client_id"], ["root"], [tell_apart], left_counts=roots
-    )
+    links = _folded(edges)
+    grid = None
+    roots_at_most = sum(_most_in(links) ** n for n in range(1, max_hops + 1))
+    if roots_at_most * most_rows(holdings, ["client_id"]) > pairs_per_task:
+        into = _union(_walks_by_hop(links, "dst", max_hops))
+        roots = into.groupBy(F.col("client").alias("client_id")).agg(F.sum("walks").alias("left_rows"))
+        grid = hot_grid(roots, rows_per_key(holdings, ["client_id"], "right_rows"), ["client_id"], pairs_per_task)
+    return pair_join(pairs.withColumnRenamed("peer", "client_id"), holdings, ["client_id"], ["root"], [tell_apart], grid)
 
 
-def _walk_exposure(edges: DataFrame, exposure: DataFrame, max_hops: int) -> DataFrame:
+def _walk_exposure(edges: DataFrame, exposure: DataFrame, max_hops: int, pairs_per_task: int) -> DataFrame:
     """Exposure summed over walks: each step is a weighted sum per (client, underlying)."""
     links = _folded(edges)
-    (inward,) = _walks_by_hop(links, "dst", 1)
-    inward = inward.select(F.col("client").alias("root"), F.col("walks").alias("left_rows"))
     onto = links.select(F.col("src").alias("start"), F.col("dst").alias("root"), "m")
-    at = exposure.select(F.col("client_id").alias("root"), "underlying", F.col("exposure").cast("decimal(38,2)").alias("total"))
+    total = F.col("exposure").cast("decimal(38,2)").alias("total")
+    at = exposure.select(F.col("client_id").alias("root"), "underlying", total)
+    # a client sums over at most as many underlyings as there are
+    widest = exposure.agg(F.count_distinct("underlying")).first()[0]
+    grid = None
+    if _most_in(links) * widest > pairs_per_task:
+        (inward,) = _walks_by_hop(links, "dst", 1)
+        inward = inward.select(F.col("client").alias("root"), F.col("walks").alias("left_rows"))
+        grid = hot_grid(inward, inward.select("root", F.lit(widest).alias("right_rows")), ["root"], pairs_per_task)
     every = []
     for _ in range(max_hops):
         part = (F.col("m").cast("decimal(18,0)") * F.col("total")).cast("decimal(38,2)")
         at = (
-            pair_join(onto, at, ["root"], ["start"], ["underlying"], left_counts=inward)
+            pair_join(onto, at, ["root"], ["start"], ["underlying"], grid)
             .groupBy(F.col("start").alias("root"), "underlying")
             .agg(F.sum(part).cast("decimal(38,2)").alias("total"))
         )
@@ -337,6 +386,7 @@ def event_clusters(
     max_days: int = fx.NEAR_EVENT_DAYS,
     max_hops: int = MAX_HOPS,
     multiplicity: str = "pair",
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Per (root, underlying): linked clients trading shortly before an event, and for how much.
 
@@ -348,7 +398,7 @@ def event_clusters(
     near = _traded(iq_trades.where(F.col("days_to_next_event") <= max_days), instruments)
     exposure = client_exposure(near)
     clusters = (
-        _peer_exposure(edges, exposure, max_hops)
+        _peer_exposure(edges, exposure, max_hops, pairs_per_task)
         .groupBy("root", "underlying")
         .agg(
             # (root, peer, underlying) rows are distinct, so a plain count is the distinct one
@@ -358,7 +408,7 @@ def event_clusters(
         )
     )
     if multiplicity == "path":
-        clusters = clusters.drop("total").join(_walk_exposure(edges, exposure, max_hops), ["root", "underlying"])
+        clusters = clusters.drop("total").join(_walk_exposure(edges, exposure, max_hops, pairs_per_task), ["root", "underlying"])
     return clusters.select(
         F.col("root").alias("root_client"),
         "underlying",
@@ -392,16 +442,21 @@ def potential_insider_cluster(
 
 
 def peer_exposure_listing(
-    edges: DataFrame, iq_trades: DataFrame, instruments: DataFrame, max_hops: int = MAX_HOPS, multiplicity: str = "pair"
+    edges: DataFrame,
+    iq_trades: DataFrame,
+    instruments: DataFrame,
+    max_hops: int = MAX_HOPS,
+    multiplicity: str = "pair",
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Root, peer, exposure, underlying: one row per peer trade (or per walk and trade)."""
     deals = _traded(iq_trades, instruments).select("client_id", "trade_id", F.col("notional1").alias("exposure"), "underlying")
     targets = deals.select("client_id").distinct()
     if multiplicity == "path":
-        pairs = reachable_walks(edges, max_hops, targets)
+        pairs = reachable_walks(edges, max_hops, targets, pairs_per_task)
     else:
-        pairs = reachable(edges, 1, max_hops, targets).drop("hops")
-    rows = _join_peers(edges, pairs, deals, "trade_id", max_hops)
+        pairs = reachable(edges, 1, max_hops, targets, pairs_per_task).drop("hops")
+    rows = _join_peers(edges, pairs, deals, "trade_id", max_hops, pairs_per_task)
     if multiplicity == "path":
         rows = rows.withColumn("walk", F.explode(F.sequence(F.lit(1), F.col("walks"))))
     return rows.select(
@@ -426,12 +481,17 @@ def hot_instruments(
 
 
 def coordinated_instrument_trading(
-    edges: DataFrame, iq_trades: DataFrame, instruments: DataFrame, min_peers: int = CLUSTER_PEERS, max_hops: int = MAX_HOPS
+    edges: DataFrame,
+    iq_trades: DataFrame,
+    instruments: DataFrame,
+    min_peers: int = CLUSTER_PEERS,
+    max_hops: int = MAX_HOPS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """(root, underlying) that several linked clients trade, with first and last trade day."""
     exposure = client_exposure(_traded(iq_trades, instruments))
     return (
-        _peer_exposure(edges, exposure, max_hops)
+        _peer_exposure(edges, exposure, max_hops, pairs_per_task)
         .groupBy(F.col("root").alias("root_client"), "underlying")
         .agg(
             F.count(F.lit(1)).alias("connected_clients"),

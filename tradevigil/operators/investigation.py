@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradevigil.functions import columns as fx
 from tradevigil.operators.features import PROXIMITY_COLUMNS
-from tradevigil.operators.joins import not_yet_in, pair_join, pair_left_join, rows_per_key
+from tradevigil.operators.joins import (
+    PAIRS_PER_TASK,
+    counted_grid,
+    hot_grid,
+    not_yet_in,
+    pair_join,
+    pair_left_join,
+    rows_per_key,
+)
 
 # The running count looks at this many earlier rows plus the trade itself.
 EARLIER_ROWS = 7
@@ -101,7 +109,11 @@ def iq_trades(store: DataFrame, existing: DataFrame | None = None, scope: str =
 
 
 def iq_events(
-    events: DataFrame, base: DataFrame, proximity: DataFrame, existing: DataFrame | None = None
+    events: DataFrame,
+    base: DataFrame,
+    proximity: DataFrame,
+    existing: DataFrame | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Every (trade, event) pair on one underlying with the trade's proximity features.
 
@@ -115,18 +127,14 @@ def iq_events(
         .join(proximity.withColumn("base_trade", F.col("trade_id")), "base_trade", "left")
     )
     shaped = events.select("event_id", "underlying", "event_type", "event_date")
-    pairs = pair_left_join(
-        shaped,
-        traded,
-        ["underlying"],
-        ["event_id"],
-        ["base_trade"],
-        right_counts=rows_per_key(base, ["underlying"], "right_rows"),
-    ).select("trade_id", "event_id", "underlying", "event_type", "event_date", *PROXIMITY_COLUMNS)
+    grid = counted_grid(shaped, base, ["underlying"], pairs_per_task)
+    pairs = pair_left_join(shaped, traded, ["underlying"], ["event_id"], ["base_trade"], grid).select("trade_id", "event_id", "underlying", "event_type", "event_date", *PROXIMITY_COLUMNS)
     return pairs if existing is None else not_yet_in(pairs, existing, ["trade_id", "event_id"])
 
 
-def client_network(relationships: DataFrame, trades: DataFrame, events: DataFrame) -> DataFrame:
+def client_network(
+    relationships: DataFrame, trades: DataFrame, events: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame:
     """Distinct root client, linked client, its trades and the events on their underlyings.
 
     `trades` is the investigated-trades table; `events` may be the raw events or the
@@ -148,22 +156,24 @@ def client_network(relationships: DataFrame, trades: DataFrame, events: DataFram
     ).distinct()
     happenings = events.select("underlying", "event_date", "event_type").distinct()
     link_rows = rows_per_key(links, ["connected_client"], "left_rows")
-    linked = pair_join(
-        links, deals, ["connected_client"], ["root_client", "relationship"], ["trade_id"], left_counts=link_rows
-    )
-    per_underlying = (
+    deal_rows = rows_per_key(deals, ["connected_client"], "right_rows")
+    per_client = hot_grid(link_rows, deal_rows, ["connected_client"], pairs_per_task)
+    linked = pair_join(links, deals, ["connected_client"], ["root_client", "relationship"], ["trade_id"], per_client)
+    # rows of `linked` per underlying, from the counts instead of the rows
+    linked_rows = (
         deals.where(F.col("underlying").isNotNull())
         .join(link_rows, "connected_client")
         .groupBy("underlying")
         .agg(F.sum("left_rows").alias("left_rows"))
     )
+    event_rows = rows_per_key(happenings, ["underlying"], "right_rows")
     return pair_left_join(
         linked,
         happenings,
         ["underlying"],
         ["root_client", "connected_client", "trade_id"],
         ["event_date", "event_type"],
-        left_counts=per_underlying,
+        hot_grid(linked_rows, event_rows, ["underlying"], pairs_per_task),
     ).select(
         "root_client",
         "connected_client",
@@ -188,7 +198,11 @@ def live_links(relationships: DataFrame, trades: DataFrame) -> DataFrame:
 
 
 def iq_clients(
-    clients: DataFrame, relationships: DataFrame, trades: DataFrame, existing: DataFrame | None = None
+    clients: DataFrame,
+    relationships: DataFrame,
+    trades: DataFrame,
+    existing: DataFrame | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Each client with each live link and each own trade, as a set on all four columns."""
     known = clients.select("client_id").distinct()
@@ -197,14 +211,14 @@ def iq_clients(
     )
     own = trades.select("client_id", "trade_id").distinct()
     linked = known.join(links, "client_id", "left")
+    out_links = relationships.withColumnRenamed("from_client", "client_id")
     rows = pair_left_join(
         linked,
         own,
         ["client_id"],
         ["connected_client", "relationship"],
         ["trade_id"],
-        left_counts=rows_per_key(relationships.withColumnRenamed("from_client", "client_id"), ["client_id"], "left_rows"),
-        right_counts=rows_per_key(trades, ["client_id"], "right_rows"),
+        counted_grid(out_links, trades, ["client_id"], pairs_per_task),
     ).select("client_id", "connected_client", "relationship", "trade_id")
     if existing is None:
         return rows

@@ -62,13 +62,25 @@ def rows_per_key(df: DataFrame, on: Sequence[str], alias: str) -> DataFrame:
     return df.where(present).groupBy(*on).agg(F.count(F.lit(1)).alias(alias))
 
 
-def _hot_grid(left_counts: DataFrame, right_counts: DataFrame, on: Sequence[str], pairs_per_task: int) -> DataFrame:
-    """Keys with more pairs than one task should make, with grid height and width."""
+def most_rows(df: DataFrame, on: Sequence[str]) -> int:
+    """Rows of the fullest key: one aggregate, one number back."""
+    return rows_per_key(df, on, "n").agg(F.max("n")).first()[0] or 0
+
+
+def hot_grid(
+    left_counts: DataFrame, right_counts: DataFrame, on: Sequence[str], pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame | None:
+    """Keys with more pairs than one task should make, with grid height and width.
+
+    Counts (or upper bounds of them) come as key columns plus `left_rows` /
+    `right_rows`. This runs: at most MAX_HOT_KEYS keys reach the driver and go back
+    out as a broadcast. None when no key is hot, which leaves a plain join to plan.
+    """
     cells = F.col("left_rows").cast("double") * F.col("right_rows") / F.lit(pairs_per_task)
     balance = F.sqrt(F.col("cells") * F.col("left_rows") / F.col("right_rows"))
     height = F.greatest(F.lit(1.0), F.least(F.ceil(balance), F.ceil(F.col("cells")), F.lit(float(MAX_CUTS))))
     width = F.least(F.ceil(F.col("cells") / F.col("height")), F.lit(float(MAX_CUTS)))
-    return (
+    hot = (
         left_counts.join(right_counts, list(on))
         .withColumn("cells", cells)
         .where(F.col("cells") > 1)
@@ -78,6 +90,15 @@ def _hot_grid(left_counts: DataFrame, right_counts: DataFrame, on: Sequence[str]
         .limit(MAX_HOT_KEYS)
         .select(*on, "height", "width")
     )
+    rows = hot.collect()
+    return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+
+
+def counted_grid(
+    left: DataFrame, right: DataFrame, on: Sequence[str], pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame | None:
+    """`hot_grid` from the inputs themselves; one pass over their key columns."""
+    return hot_grid(rows_per_key(left, on, "left_rows"), rows_per_key(right, on, "right_rows"), on, pairs_per_task)
 
 
 def pair_join(
@@ -86,21 +107,16 @@ def pair_join(
     on: Sequence[str],
     spread_left: Sequence[str],
     spread_right: Sequence[str],
-    left_counts: DataFrame | None = None,
-    right_counts: DataFrame | None = None,
-    pairs_per_task: int = PAIRS_PER_TASK,
+    grid: DataFrame | None,
 ) -> DataFrame:
-    """Inner many-to-many equi-join, hot keys cut into a grid.
+    """Inner many-to-many equi-join with the keys in `grid` cut into its cells.
 
     `spread_left` / `spread_right` name columns that tell the rows of one key apart.
-    Ready counts (key columns plus `left_rows` / `right_rows`) save a pass.
     """
     on = list(on)
-    if left_counts is None:
-        left_counts = rows_per_key(left, on, "left_rows")
-    if right_counts is None:
-        right_counts = rows_per_key(right, on, "right_rows")
-    hot = F.broadcast(_hot_grid(left_counts, right_counts, on, pairs_per_task))
+    if grid is None:
+        return left.join(right, on)
+    hot = F.broadcast(grid)
 
     def cut(df: DataFrame, spread: Sequence[str], own: str, other: str, own_cut: str, other_cut: str) -> DataFrame:
         # Not rand(): a task that is run again must send each row to the same cell.
@@ -124,7 +140,7 @@ def pair_left_join(
     on: Sequence[str],
     spread_left: Sequence[str],
     spread_right: Sequence[str],
-    **options,
+    grid: DataFrame | None,
 ) -> DataFrame:
     """Left outer form of `pair_join`.
 
@@ -132,6 +148,8 @@ def pair_left_join(
     added, as a copied left row must not be padded once per grid cell.
     """
     on = list(on)
-    matched = pair_join(left, right, on, spread_left, spread_right, **options)
+    if grid is None:
+        return left.join(right, on, "left")
+    matched = pair_join(left, right, on, spread_left, spread_right, grid)
     lonely = left.join(right.select(*on).distinct(), on, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
