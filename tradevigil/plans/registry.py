@@ -493,7 +493,7 @@ def ingest_stream_features(v):
     }.items():
         tables.create_if_missing(rows, f"{db}.{name}")
     _land(v, landing, v.trades)
-    step = feature_step(v.spark, db)
+    step = feature_step(db)
     start_ingest(
         v.spark, "trades", landing, scratch_path(v.spark, "stream"), f"{db}.trades_raw", then=step
     ).awaitTermination()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tradevigil.operators import features, investigation
@@ -49,6 +49,8 @@ def ingest_stream(
         append_unseen(batch, target, feed.key, unique=True)
         if then is not None:
             then(batch)
+        # batches run in a session of their own; let the caller's see the new files
+        spark.catalog.refreshTable(target)
 
     return (
         feed_stream(spark, feed, src_dir, files_per_trigger)
@@ -59,22 +61,24 @@ def ingest_stream(
     )
 
 
-def feature_step(spark: SparkSession, database: str) -> BatchStep:
+def feature_step(database: str) -> BatchStep:
     """Per-batch step that brings base, proximity, store and investigated trades up to date.
 
     The batch joins the dimension tables and network tables as they stand.
     """
 
-    def table(name: str) -> DataFrame:
-        return spark.table(f"{database}.{name}")
-
     def step(batch: DataFrame) -> None:
+        spark = batch.sparkSession
+
+        def table(name: str) -> DataFrame:
+            return spark.table(f"{database}.{name}")
+
         batch = batch.dropDuplicates(["trade_id"])
         base = features.feature_trade_base(batch, table("clients_raw"), table("instruments_raw"))
         near = features.event_proximity(batch, table("events_raw"), unique_trades=True)
         append_unseen(base, f"{database}.feature_trade_base", ["trade_id"])
         append_unseen(near, f"{database}.feature_event_proximity", ["trade_id"])
-        fresh = table("feature_trade_base").join(batch.select(F.col("trade_id")), "trade_id", "left_semi")
+        fresh = table("feature_trade_base").join(batch.select("trade_id"), "trade_id", "left_semi")
         store = features.feature_store(
             fresh, table("feature_client_hop1"), table("feature_client_hop3"), table("feature_event_proximity")
         )
