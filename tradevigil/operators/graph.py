@@ -346,7 +346,8 @@ def _join_peers(
     """(root, peer) with what the peer holds; walks into a peer bound its number of roots."""
     links = _folded(edges)
     grid = None
-    roots_at_most = sum(_most_in(links) ** n for n in range(1, max_hops + 1))
+    most_in = _most_in(links)
+    roots_at_most = sum(most_in**n for n in range(1, max_hops + 1))
     if roots_at_most * most_rows(holdings, ["client_id"]) > pairs_per_task:
         into = _union(_walks_by_hop(links, "dst", max_hops))
         roots = into.groupBy(F.col("client").alias("client_id")).agg(F.sum("walks").alias("left_rows"))
