@@ -125,7 +125,7 @@ def test_table_upkeep(spark, database):
     tables.append_unseen(more, name, ["instrument_id"], unique=True)
     tables.append_unseen(more, name, ["instrument_id"], unique=True)
     assert sorted((r["instrument_id"], r["isin"]) for r in spark.table(name).collect())[2:] == [("i3", "same"), ("i4", "a")]
-    tables.replace(spark.table(name).withColumn("extra", F.lit(1)), name)
+    tables.replace(spark.table(name).withColumn("extra", F.lit(1)), name, reads_itself=True)
     assert "extra" in spark.table(name).columns and spark.table(name).count() == 4
     cleared = tables.clear_tables(spark, [f"{database}.{n}" for n in RESET_TABLES])
     assert cleared == [name] and spark.table(name).count() == 0 and "extra" in spark.table(name).columns

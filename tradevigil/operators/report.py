@@ -27,7 +27,7 @@ def cluster_flag(max_days: int = fx.NEAR_EVENT_DAYS, min_exposure: float = fx.HA
 
 
 def days_to_event_sum(skip_sentinel: bool = False) -> Column:
-    """Sum of the days to the next event; the reference figure counts 9999 for "none"."""
+    """Sum of the days to the next event; the plain figure counts 9999 for "none"."""
     days = F.col("days_to_next_event")
     if skip_sentinel:
         days = F.when(days != NO_EVENT_DAYS, days)

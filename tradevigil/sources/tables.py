@@ -37,16 +37,23 @@ def create_if_missing(df: DataFrame, name: str) -> bool:
     return True
 
 
-def replace(df: DataFrame, name: str) -> None:
-    """Create the table or replace its rows and schema; `df` may read the table itself."""
+def replace(df: DataFrame, name: str, reads_itself: bool = False) -> None:
+    """Create the table or replace its rows and schema.
+
+    A `df` that reads the table itself goes by way of a staged copy; others are
+    written once.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         df.write.format(FORMAT).saveAsTable(name)
         return
     staged = f"{name}_staged_{uuid.uuid4().hex[:8]}"
-    df.write.format(FORMAT).saveAsTable(staged)
-    spark.table(staged).write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).saveAsTable(name)
-    spark.sql(f"DROP TABLE {staged}")
+    if reads_itself:
+        df.write.format(FORMAT).saveAsTable(staged)
+        df = spark.table(staged)
+    df.write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).saveAsTable(name)
+    if reads_itself:
+        spark.sql(f"DROP TABLE {staged}")
 
 
 def append_unseen(df: DataFrame, name: str, keys: Sequence[str], latest_by: str | None = None, unique: bool = False) -> None:
@@ -75,7 +82,7 @@ def corrected(df: DataFrame, fixes: DataFrame, key: str, column: str) -> DataFra
 
 def correct_table(spark: SparkSession, name: str, fixes: DataFrame, key: str, column: str) -> None:
     """Apply keyed corrections to a stored table, by way of a staged copy."""
-    replace(corrected(spark.table(name), fixes, key, column), name)
+    replace(corrected(spark.table(name), fixes, key, column), name, reads_itself=True)
 
 
 def clear_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tradevigil.operators import features, investigation
+from tradevigil.operators.joins import one_per_key
 from tradevigil.schemas import FEEDS, FeedSpec
 from tradevigil.sources.feeds import cast_columns
 from tradevigil.sources.tables import append_unseen
@@ -73,7 +74,8 @@ def feature_step(database: str) -> BatchStep:
         def table(name: str) -> DataFrame:
             return spark.table(f"{database}.{name}")
 
-        batch = batch.dropDuplicates(["trade_id"])
+        # the same choice among repeated keys as for the stored trades
+        batch = one_per_key(batch, ["trade_id"])
         base = features.feature_trade_base(batch, table("clients_raw"), table("instruments_raw"))
         near = features.event_proximity(batch, table("events_raw"), unique_trades=True)
         append_unseen(base, f"{database}.feature_trade_base", ["trade_id"])
