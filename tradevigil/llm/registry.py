@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradevigil.llm import langid, mixing, simhash, tokenfile, winnow
+from tradevigil.llm import langid, licences, maintext, mixing, ordermin, simhash, tokenfile, toxicity, warc, winnow
 from tradevigil.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,16 +24,41 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_query
+def op1_order_minhash(spark, sf_dir):
+    return ordermin.report(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_warc_reassembly(spark, sf_dir):
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_decontamination(spark, sf_dir):
     return winnow.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op4_license_scan(spark, sf_dir):
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_toxicity(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op6_language_id(spark, sf_dir):
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_main_text(spark, sf_dir):
+    return maintext.report(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op8_token_files(spark, sf_dir):
     return tokenfile.report(table(spark, sf_dir, "documents"), vocabulary())
@@ -50,6 +75,7 @@ def op10_source_mixing(spark, sf_dir):
 
 
 ORACLE_SQL = {
+    "op2_warc_reassembly": warc.REPORT_SQL,
     "op3_decontamination": winnow.REPORT_SQL,
     "op10_source_mixing": mixing.REPORT_SQL,
 }
