@@ -4,13 +4,14 @@ A page's HTTP response is framed in chunks and, if long, cut over a response rec
 continuation records that name it. Reading groups records by the identifier of their
 origin, orders them by segment number, checks the total length, and decodes the chunks.
 
-Archives are plain text files of whole records, written and read by Spark, so that any
+Archives are zipped files of whole records, written and read by Spark, so that any
 store that it reaches will do. A file holds at most `RECORDS_PER_FILE` records of at most
 `SEGMENT_BYTES` each (plus headers), so one fits in a task's memory.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import uuid
@@ -99,7 +100,9 @@ def records(name: str, page_id, url: str, payload: bytes, revisit_of=None, segme
 
 
 def parsed(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of an archive."""
+    """Header fields (names in lower case) and block of each record of an archive, zipped or not."""
+    if archive[:2] == b"\x1f\x8b":
+        archive = gzip.decompress(archive)
     at = 0
     while at < len(archive):
         end = archive.index(b"\r\n\r\n", at)
@@ -157,7 +160,7 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES) -> None:
     # tells repeated rows apart: unique among the rows of the one job that writes
     rows = decided(pages).withColumn("number", F.monotonically_increasing_id())
     text = rows.mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n")
-    text.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    text.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 _FIELDS = "kind string, origin string, number int, page_id string, url string, digest string, refers_to string, size bigint, total bigint"
