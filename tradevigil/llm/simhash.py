@@ -338,8 +338,8 @@ def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similar
     Candidates come from fingerprints over the set of single words, which copies with
     edited words change little, at `threshold` bits; a candidate link counts if the two
     texts share at least `similarity` of their distinct `shingle`-word shingles. Groups
-    are the components of these links. Equal texts (NULL and empty are equal) are one
-    group; of repeated rows one stays. Other columns are carried along.
+    are the components of these links. Equal texts are one group, and so are all texts
+    without words, NULL among them; of repeated rows one stays. Other columns are carried along.
     """
     rows = stored(fingerprints(docs, 1, distinct=True), "simhash")
     texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"))

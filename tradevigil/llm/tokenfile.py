@@ -135,20 +135,28 @@ def symbols(freq: np.ndarray) -> np.ndarray:
 # ---- tokens ------------------------------------------------------------------
 
 
-#: Words a task remembers with their ids before it starts anew.
+#: Words (of two generations) and pieces of words that a worker process remembers.
 KNOWN_WORDS = 500_000
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]*)")
 
 
-class _Known(dict):
-    """Ids of words, found when first asked for."""
+class _Known:
+    """Ids of words, found when first asked for; the oldest half goes when full."""
 
     def __init__(self, find):
-        super().__init__()
-        self.find = find
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self[word] = self.find(word)
+        self.find, self.new, self.old = find, {}, {}
+
+    def all(self, parts: list) -> list[bytes]:
+        found = list(map(self.new.get, parts))
+        if None in found:
+            found = [self.one(p) if ids is None else ids for p, ids in zip(parts, found, strict=True)]
+            if len(self.new) > KNOWN_WORDS // 2:
+                self.old, self.new = self.new, {}
+        return found
+
+    def one(self, part) -> bytes:
+        ids = self.new.get(part) or self.old.get(part)
+        self.new[part] = ids = self.find(part) if ids is None else ids
         return ids
 
 
@@ -161,15 +169,17 @@ class WordTokenizer:
     """
 
     def __init__(self, model: str):
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.full = Tokenizer.from_str(model)
+        self.full = tokenizers.Tokenizer.from_str(model)
         self.merges = self.full.model
         latin = [chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
         split = self.full.pre_tokenizer.pre_tokenize_str
         self.bytes = str.maketrans({c: split(c)[0][0] for c in latin})
-        self.known = _Known(self._word)
-        self.pieces = _Known(self._piece)
+        # a task unpickles this module anew, while the library's lasts as long as the worker
+        kept = vars(tokenizers).setdefault("_words_with_ids", {})
+        key = zlib.crc32(model.encode())
+        self.known, self.pieces = kept.setdefault(key, (_Known(self._word), _Known(self._piece)))
 
     def _piece(self, text: str) -> bytes:
         """Ids of a run of letters or of punctuation."""
@@ -182,8 +192,8 @@ class WordTokenizer:
         plain = _PLAIN.fullmatch(word)
         if plain:
             letters, marks = plain.groups()
-            ids = self.pieces[letters.lower()]
-            return ids + self.pieces[marks] if marks else ids
+            ids = self.pieces.one(letters.lower())
+            return ids + self.pieces.one(marks) if marks else ids
         ids = self.full.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -191,11 +201,9 @@ class WordTokenizer:
         """Little-endian unsigned 32-bit ids."""
         # bytes split at the six white-space characters of ASCII; others are the library's
         parts = (text or "").encode("utf-8", "surrogatepass").split()
-        out = b"".join(map(self.known.__getitem__, parts))
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-            self.pieces.clear()
-        return out
+        if len(self.pieces.new) > KNOWN_WORDS // 2:
+            self.pieces.old, self.pieces.new = self.pieces.new, {}
+        return b"".join(self.known.all(parts))
 
 
 _END = struct.pack("<I", END_ID)
@@ -227,9 +235,9 @@ def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
     spark = docs.sparkSession
     with open(vocabulary, encoding="utf-8") as file:
         model = spark.sparkContext.broadcast(file.read())
-    keys = list(dict.fromkeys([*order, "text"]))
-    rows = docs.select(*dict.fromkeys([*order, "doc_id", "text"]))
-    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    rows = docs.select(*dict.fromkeys([*order, "doc_id", "text"]), F.xxhash64("text").alias("_text"))
+    # ranges are drawn by the hash, not the text, as a sample of their keys goes to the driver
+    rows = rows.repartitionByRange(*order, "_text").sortWithinPartitions(*order, "_text", "text").select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     columns = ["part", "first_id", "n_ids", "doc_ids", "lengths", "ids"]
 
@@ -267,7 +275,7 @@ def write(docs: DataFrame, order: list[str], vocabulary: str, path: str | None =
 
     Texts are sorted in ranges and tokenized once; each range's documents fill blocks, kept
     as plain ids until all are counted for the table, then coded one by one. Rows equal in
-    all of `order` are put in order of their text; NULL is the empty text and gets the end
+    all of `order` are put in order of a hash of their text; NULL is the empty text and gets the end
     id only. The vocabulary file is read on the driver and shipped as text. `table` holds
     the frequencies, `blocks` the blocks. No rows: an empty table and no blocks.
     """

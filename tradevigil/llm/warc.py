@@ -55,12 +55,14 @@ def dechunked(body: bytes) -> bytes:
 
 
 def _cuts(block: bytes, size: int) -> list[bytes]:
-    """Pieces of at most `size` bytes that end between characters of UTF-8."""
+    """Pieces of at most `size` bytes that end between characters of UTF-8, if they can."""
     parts, at = [], 0
     while at < len(block) or not parts:
         end = min(len(block), at + size)
-        while end < len(block) and block[end] & 0xC0 == 0x80:
+        while at < end < len(block) and block[end] & 0xC0 == 0x80:
             end -= 1
+        if end == at:
+            end = min(len(block), at + size)
         parts.append(block[at:end])
         at = end
     return parts
