@@ -54,8 +54,8 @@ def test_odd_rows_in_filters(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 4, 5, 6, 7]
     clean = winnow.clean(docs, items(spark, [(1, "One")]))
     assert clean.columns == docs.columns and clean.where("text = 'One.'").count() == 0 and clean.count() == 6
-    told = langid.recognised(docs, least=0.0)
-    assert told.columns == docs.columns and {r["doc_id"] for r in told.collect()} == {4, None, 5, 6}
+    told = langid.recognised(documents(spark, [*ODD, (9, "One one cat cat")]), least=0.0)
+    assert told.columns == docs.columns and {r["doc_id"] for r in told.collect()} == {4, None, 5, 6, 9}
     assert mixing.shuffled(docs).columns == docs.columns
     for name, stage in corpus_pipeline.STAGES[:2]:
         assert stage(spark, documents(spark, []), "").count() == 0, name
