@@ -68,7 +68,7 @@ def test_mixing_reaches_its_weights(spark):
     assert abs(n["big"] - 2000) < 200 and abs(n["small"] - 2000) < 200
     high = spark.createDataFrame([("small", 1.0)], "source string, weight double")
     few = docs.where("source = 'big' OR doc_id < 40")
-    drawn = {r["doc_id"]: r["_copies"] for r in mixing.replicated(few, high).collect()}
+    drawn = {r["doc_id"]: r["_mix_copies"] for r in mixing.replicated(few, high).collect()}
     assert set(drawn) <= set(range(0, 40, 4)) and abs(np.mean(list(drawn.values())) - 301) < 25
 
 

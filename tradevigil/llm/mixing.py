@@ -64,7 +64,7 @@ def _levels(mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["all"])
 
 
-def _key(docs: DataFrame) -> Column:
+def _mix_key(docs: DataFrame) -> Column:
     doc_id = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
     return F.concat_ws(":", F.lit(SEED), doc_id, F.md5(F.coalesce(docs["text"], F.lit(""))))
 
@@ -75,7 +75,7 @@ def _uniform(text: Column) -> Column:
 
 
 def replicated(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """`docs`, each row as often as drawn, with `_copy` (from 1), `_copies` and `_order` (hex).
+    """`docs`, each row as often as drawn, with `_mix_copy` (from 1), `_mix_copies` and `_mix_order` (hex).
 
     A document drawn 0 times is left out: that is the method. Rates come from all rows.
     Repeated rows are drawn alike. NULL text is empty; no rows: no rows. The rates are
@@ -84,25 +84,25 @@ def replicated(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     found = stored(sizes(docs), "sizes")
     per_source = stored(rates(found, targets if targets is not None else flattened(found)), "rates")
     per_source = per_source.select(*[F.col(c).alias(f"_mix_{c}") for c in per_source.columns])
-    rows = docs.withColumn("_key", _key(docs))
+    rows = docs.withColumn("_mix_key", _mix_key(docs))
     rows = rows.join(per_source, docs["source"].eqNullSafe(per_source["_mix_source"]))
     levels = F.col("_mix_levels")
 
     def drawn(part: Column) -> Column:
-        u = _uniform(F.concat_ws(":", "_key", F.lit("draw"), part.cast("string")))
+        u = _uniform(F.concat_ws(":", "_mix_key", F.lit("draw"), part.cast("string")))
         return F.size(F.filter(levels, lambda level: level <= u))
 
     copies = F.aggregate(F.sequence(F.lit(1), F.col("_mix_draws")), F.lit(0), lambda n, part: n + drawn(part))
-    rows = rows.withColumn("_copies", copies).where("_copies > 0")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    order = F.md5(F.concat_ws(":", "_key", F.lit("order"), F.col("_copy").cast("string")))
-    return rows.withColumn("_order", order).select(*[docs[c] for c in docs.columns], "_copy", "_copies", "_order")
+    rows = rows.withColumn("_mix_copies", copies).where("_mix_copies > 0")
+    rows = rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+    order = F.md5(F.concat_ws(":", "_mix_key", F.lit("order"), F.col("_mix_copy").cast("string")))
+    return rows.withColumn("_mix_order", order).select(*[docs[c] for c in docs.columns], "_mix_copy", "_mix_copies", "_mix_order")
 
 
 def shuffled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The drawn rows with the columns of `docs`, in their shuffled order over all partitions."""
     rows = replicated(docs, targets)
-    return rows.repartitionByRange("_order", "doc_id").sortWithinPartitions("_order", "doc_id").select(*docs.columns)
+    return rows.repartitionByRange("_mix_order", "doc_id").sortWithinPartitions("_mix_order", "doc_id").select(*docs.columns)
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -111,13 +111,13 @@ def numbered(rows: DataFrame) -> DataFrame:
     Rows are ranked inside 16**SPREAD ranges of the hash, and the ranges' counts summed up,
     so no task sees more than its even share. Equal rows may change places.
     """
-    ranged = rows.withColumn("_range", F.substring("_order", 1, SPREAD))
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_order", "doc_id"))
-    placed = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
-    return placed.withColumn("position", F.col("_offset") + F.col("_inside") - 1)
+    ranged = rows.withColumn("_mix_range", F.substring("_mix_order", 1, SPREAD))
+    counts = ranged.groupBy("_mix_range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_mix_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_mix_offset"))
+    inside = F.row_number().over(Window.partitionBy("_mix_range").orderBy("_mix_order", "doc_id"))
+    placed = ranged.withColumn("_mix_inside", inside).join(F.broadcast(offsets), "_mix_range")
+    return placed.withColumn("position", F.col("_mix_offset") + F.col("_mix_inside") - 1)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def report(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", "text", "source")
     rows = replicated(narrow).drop("text")
     return numbered(rows).select(
-        "doc_id", "source", F.col("_copies").cast("bigint").alias("n_copies"), F.col("_copy").cast("bigint").alias("copy"), "position"
+        "doc_id", "source", F.col("_mix_copies").cast("bigint").alias("n_copies"), F.col("_mix_copy").cast("bigint").alias("copy"), "position"
     )
 
 
