@@ -76,21 +76,96 @@ def test_missing_table_reads_as_declared_schema(spark, database):
     assert empty.count() == 0 and empty.schema == FEEDS["events"].raw_schema
 
 
-def test_stream_equals_batch_and_takes_a_key_once(spark, database, landing):
-    land(landing, "one.csv", [("t1", "2024-01-01", "10.5"), ("t1", "2024-01-01", "10.5"), ("t2", "bad", "x")])
+def stream(spark, feed, landing, target, checkpoint=None):
+    ingest_stream(spark, feed, landing, checkpoint or tempfile.mkdtemp(prefix="tradevigil-cp-"), target).awaitTermination()
+
+
+def text_file(folder, name, text):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+def test_stream_keeps_every_row_as_batch_does(spark, database, landing, same_rows):
+    land(landing, "one.csv", [("t1", "2024-01-01", "10.5"), ("t1", "2024-01-01", "10.5"), ("", "bad", "x"), ("", "", "1")])
     checkpoint = tempfile.mkdtemp(prefix="tradevigil-cp-")
     target = f"{database}.trades_raw"
-    ingest_stream(spark, "trades", landing, checkpoint, target).awaitTermination()
+    stream(spark, "trades", landing, target, checkpoint)
     land(landing, "two.csv", [("t2", "2024-05-05", "5"), ("t3", "2024-02-01", "7")])
-    ingest_stream(spark, "trades", landing, checkpoint, target).awaitTermination()
-    ingest_stream(spark, "trades", landing, checkpoint, target).awaitTermination()
-    rows = spark.table(target)
-    assert ids(rows) == ["t1", "t2", "t3"]
-    assert rows.schema == FEEDS["trades"].raw_schema
+    stream(spark, "trades", landing, target, checkpoint)
+    stream(spark, "trades", landing, target, checkpoint)
+    rows = feeds.feed_table(spark, "trades", database)
+    assert rows.count() == 6 and rows.schema == FEEDS["trades"].raw_schema
     # a lost checkpoint replays every file and still adds nothing
-    other = tempfile.mkdtemp(prefix="tradevigil-cp-")
-    ingest_stream(spark, "trades", landing, other, target).awaitTermination()
-    assert ids(spark.table(target)) == ["t1", "t2", "t3"]
+    stream(spark, "trades", landing, target)
+    spec = FEEDS["trades"]
+    batch = feeds.incremental_load_from_dir(
+        spark, landing, f"{database}.by_batch", f"{database}.by_batch_files", spec.dates, spec.doubles
+    )
+    same_rows(feeds.feed_table(spark, "trades", database), batch.drop(*feeds.LOAD_COLUMNS))
+
+
+def test_batch_and_stream_share_a_table(spark, database, landing):
+    target = f"{database}.trades_raw"
+    for i, load in enumerate([feeds.load_feed, None, feeds.load_feed, None]):
+        land(landing, f"f{i}.csv", [(f"t{i}", "2024-01-01", "1")])
+        if load:
+            load(spark, "trades", landing, database)
+        else:
+            stream(spark, "trades", landing, target)
+    assert ids(spark.table(target)) == ["t0", "t1", "t2", "t3"]
+    assert spark.table(f"{database}.processed_trade_files").count() == 4
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_files_match_columns_by_name(spark, database, landing, streamed):
+    target = f"{database}.instruments_raw"
+
+    def load():
+        if streamed:
+            stream(spark, "instruments", landing, target)
+        else:
+            feeds.load_feed(spark, "instruments", landing, database)
+
+    text_file(landing, "a.csv", "instrument_id,underlying,isin,sector\ni1,U1,X1,S1\n")
+    text_file(landing, "b.csv", "underlying,instrument_id,sector,isin\nU2,i2,S2,X2\n")
+    text_file(landing, "empty.csv", "")
+    load()
+    text_file(landing, "c.csv", "instrument_id,notional\ni3,7\n")
+    load()
+    text_file(landing, "d.csv", "Instrument_ID,underlying\ni4,U4\n")
+    load()
+    load()
+    found = spark.table(target).select("instrument_id", "underlying", "isin", "sector", "notional").orderBy("instrument_id")
+    assert [tuple(r) for r in found.collect()] == [
+        ("i1", "U1", "X1", "S1", None), ("i2", "U2", "X2", "S2", None), ("i3", None, None, None, "7"), ("i4", "U4", None, None, None),
+    ]
+    assert spark.table(f"{database}.processed_instrument_files").count() == 4  # none for the empty one, yet
+
+
+def test_a_file_without_a_numeric_column_is_loaded(spark, database, landing):
+    land(landing, "one.csv", [("t1", "2024-01-01", "10.5")])
+    feeds.load_feed(spark, "trades", landing, database)
+    text_file(landing, "two.csv", "trade_id\nt2\n")
+    feeds.load_feed(spark, "trades", landing, database)
+    rows = feeds.feed_table(spark, "trades", database)
+    assert dict(rows.dtypes)["notional"] == "double"
+    assert sorted(map(tuple, rows.select("trade_id", "notional").collect())) == [("t1", 10.5), ("t2", None)]
+
+
+def test_load_after_correction_and_after_reset(spark, database, landing):
+    target = f"{database}.instruments_raw"
+    text_file(landing, "a.csv", "instrument_id,underlying,isin,sector\ni1,U1,old,S\n")
+    feeds.load_feed(spark, "instruments", landing, database)
+    fixes = spark.createDataFrame([("U1", "new")], "underlying string, isin string")
+    tables.correct_table(spark, target, fixes, "underlying", "isin")
+    text_file(landing, "b.csv", "instrument_id,underlying,isin,sector\ni2,U2,y,S\n")
+    feeds.load_feed(spark, "instruments", landing, database)
+    rows = feeds.feed_table(spark, "instruments", database)
+    assert sorted(map(tuple, rows.select("instrument_id", "isin").collect())) == [("i1", "new"), ("i2", "y")]
+    tables.clear_tables(spark, [f"{database}.{n}" for n in RESET_TABLES])
+    assert feeds.load_feed(spark, "instruments", landing, database).count() == 2
+    assert feeds.load_feed(spark, "instruments", landing, database) is None
+    assert spark.table(f"{database}.processed_instrument_files").count() == 2
 
 
 def test_streamed_features_in_two_batches_equal_one_batch(spark, database, views, same_rows):

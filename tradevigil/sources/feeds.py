@@ -3,13 +3,17 @@
 Raw tables carry two extra columns, `_source_file` and the partition column
 `_load_id`. A load writes its rows as one new partition and then its ledger rows. If it
 stops in between, the next run finds a partition the ledger does not know and enters
-its files before it looks for new ones, so no file is loaded twice or lost.
+its files before it looks for new ones, so no file is loaded twice or lost. Streams load
+by the same steps into the same layout. Columns are matched by name: files may bring them
+in any order, leave some out (NULL) or add new ones (the table is widened). A feed has one
+writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +21,7 @@ from pyspark.sql import types as T
 
 from tradevigil.functions import columns as fx
 from tradevigil.schemas import FEEDS, FeedSpec
-from tradevigil.sources.tables import FORMAT, append, table_or_empty
+from tradevigil.sources.tables import FORMAT, append, partition_columns, quoted, table_or_empty
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -91,25 +95,90 @@ def incremental_load_from_dir(
     fresh = new_files(list_csv_files(spark, src_dir), ledger).orderBy("file_path")
     loads = []
     for part in _chunks((r["file_path"] for r in fresh.toLocalIterator()), files_per_load):
-        load_id = uuid.uuid4().hex
-        rows = cast_columns(read_csv(spark, part), date_cast_columns, numeric_cast_columns)
-        stamped = rows.select(
-            *rows.columns, F.col("_metadata.file_path").alias("_source_file"), F.lit(load_id).alias("_load_id")
-        )
-        _append_load(stamped, raw_table)
-        _enter(spark.createDataFrame([(p, load_id) for p in part], "file_path string, _load_id string"), processed_meta_table)
-        loads.append(load_id)
-    if not loads:
+        loads.append(_load(spark, part, raw_table, processed_meta_table, date_cast_columns, numeric_cast_columns))
+    if not loads or not spark.catalog.tableExists(raw_table):
         return None
     return spark.table(raw_table).where(F.col("_load_id").isin(loads))
 
 
+def load_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    raw_table: str,
+    processed_meta_table: str,
+    date_cast_columns: Sequence[str] = (),
+    numeric_cast_columns: Sequence[str] = (),
+) -> DataFrame | None:
+    """Load those of the named files that the ledger does not hold; the rows of all of them as stored.
+
+    Naming files again adds nothing, whether a batch or a stream loaded them first.
+    None where no file was ever stored.
+    """
+    _enter_unlisted_loads(spark, raw_table, processed_meta_table)
+    named = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    ledger = table_or_empty(spark, processed_meta_table, LEDGER_SCHEMA)
+    fresh = sorted(r["file_path"] for r in new_files(named, ledger).distinct().collect())
+    if fresh:
+        _load(spark, fresh, raw_table, processed_meta_table, date_cast_columns, numeric_cast_columns)
+    if not spark.catalog.tableExists(raw_table):
+        return None
+    spark.catalog.refreshTable(processed_meta_table)
+    entered = spark.table(processed_meta_table).join(named, "file_path", "left_semi")
+    loads = [r["_load_id"] for r in entered.select("_load_id").distinct().collect()]
+    stored = spark.table(raw_table).where(F.col("_load_id").isin(loads))
+    return stored.join(named.withColumnRenamed("file_path", "_source_file"), "_source_file", "left_semi")
+
+
+def _load(
+    spark: SparkSession, paths: list[str], raw_table: str, ledger_table: str, dates: Sequence[str], doubles: Sequence[str]
+) -> str:
+    load_id = uuid.uuid4().hex
+    parts = []
+    for same_header in _by_header(spark, paths):
+        rows = cast_columns(read_csv(spark, same_header), dates, doubles)
+        parts.append(rows.select("*", F.col("_metadata.file_path").alias("_source_file")))
+    if parts:
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        _append_load(every.withColumn("_load_id", F.lit(load_id)), raw_table)
+    _enter(spark.createDataFrame([(p, load_id) for p in paths], "file_path string, _load_id string"), ledger_table)
+    return load_id
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files in groups of one header line each, as a CSV scan names all its columns by one file.
+
+    One pass over the lines; a digest per file comes back. Files without a line are left out.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        "value",
+        F.input_file_block_start().alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    present = lines.where((F.col("block") == 0) & (F.trim("value") != ""))
+    first = present.groupBy("file_path").agg(F.md5(F.min_by("value", "line")).alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file_path").toLocalIterator():
+        groups.setdefault(row["header"], []).append(row["file_path"])
+    return list(groups.values())
+
+
 def _append_load(rows: DataFrame, raw_table: str) -> None:
+    """Add a load's partition; the table is widened by columns it does not know yet."""
     spark = rows.sparkSession
     if spark.catalog.tableExists(raw_table):
-        known = spark.table(raw_table).columns
-        absent = [F.lit(None).cast("string").alias(c) for c in known if c not in rows.columns]
-        rows = rows.select("*", *absent).select(*known)
+        if partition_columns(spark, raw_table) != ["_load_id"]:
+            raise ValueError(f"{raw_table} is not partitioned by _load_id, so loads cannot be told apart in it")
+        known = {f.name.lower() for f in spark.table(raw_table).schema}
+        added = [f for f in rows.schema if f.name.lower() not in known]
+        if added:
+            columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {raw_table} ADD COLUMNS ({columns})")
+        own = {f.name.lower() for f in rows.schema}
+        for f in spark.table(raw_table).schema:
+            if f.name.lower() not in own:
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        rows = rows.select(*[quoted(c) for c in spark.table(raw_table).columns])
     rows.write.mode("append").format(FORMAT).partitionBy("_load_id").saveAsTable(raw_table)
 
 

@@ -17,11 +17,12 @@ SELECT concat('C', CAST(c_custkey AS STRING)) AS client_id, c_name AS name, n_na
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "instruments_raw": """
 SELECT concat('I', CAST(MIN(p_partkey) AS STRING)) AS instrument_id, p_brand AS underlying, p_type AS isin, p_type AS sector
-FROM {part} WHERE p_type <> 'PROMO' GROUP BY p_brand, p_type""",
+FROM {part} GROUP BY p_brand, p_type""",
     "trades_raw": """
 SELECT concat('SWP', CAST(o_orderkey AS STRING)) AS trade_id, CAST(o_orderdate AS DATE) AS trade_date,
  CAST(o_orderdate AS DATE) + 2 AS booking_date, o_orderstatus AS trade_status,
- CASE WHEN o_orderkey % 3 = 0 THEN 'TRS' ELSE 'EQS' END AS product_type, p_brand AS underlying, p_type AS isin, 'USD' AS currency,
+ CASE WHEN o_orderkey % 3 = 0 THEN 'TRS' ELSE 'EQS' END AS product_type, p_brand AS underlying,
+ CASE WHEN o_orderkey % 9 = 0 THEN concat(p_type, ' (unlisted)') ELSE p_type END AS isin, 'USD' AS currency,
  CAST(CAST(o_totalprice AS DECIMAL(20,2)) * 2500 AS DOUBLE) AS notional, CAST(p_size AS DOUBLE) AS quantity, p_retailprice AS price,
  CASE WHEN o_orderkey % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS direction, concat('C', CAST(o_custkey AS STRING)) AS client_id, c_name AS client_name,
  concat('T', CAST(o_orderkey % 40 AS STRING)) AS trader_id, c_mktsegment AS desk, concat('LE', CAST(c_nationkey % 5 AS STRING)) AS legal_entity,
@@ -37,11 +38,12 @@ SELECT concat('E', CAST(event_id AS STRING)) AS event_id, concat('Brand#', CAST(
  CASE WHEN value >= 20 THEN 'High' ELSE 'Low' END AS importance
 FROM {events}""",
     "relationships_raw": """
-SELECT DISTINCT concat('C', CAST(a AS STRING)) AS from_client, concat('C', CAST(b AS STRING)) AS to_client, rel AS relationship FROM (
- SELECT o_custkey AS a, LEAD(o_custkey) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, o_custkey) AS b,
- CASE WHEN l_partkey % 2 = 0 THEN 'FAMILY' ELSE 'SHARED_DIRECTOR' END AS rel
- FROM (SELECT DISTINCT l_partkey, l_shipdate, o_custkey FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_quantity >= 47) x) y
-WHERE b IS NOT NULL AND a <> b""",
+SELECT concat('C', CAST(a AS STRING)) AS from_client, concat('C', CAST(b AS STRING)) AS to_client,
+ CASE WHEN l_partkey % 2 = 0 THEN 'FAMILY' ELSE 'SHARED_DIRECTOR' END AS relationship FROM (
+ SELECT l_partkey, o_custkey AS a, LEAD(o_custkey) OVER (PARTITION BY l_partkey ORDER BY bought DESC, o_custkey) AS b,
+ ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY bought DESC, o_custkey) AS place
+ FROM (SELECT l_partkey, o_custkey, SUM(CAST(l_quantity AS DECIMAL(20,2))) AS bought FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_partkey, o_custkey) x) y
+WHERE place <= 2 AND b IS NOT NULL""",
 }
 
 

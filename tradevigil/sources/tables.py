@@ -20,6 +20,14 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def append(df: DataFrame, name: str) -> None:
     """Add rows, creating the table when it is missing; columns are matched by name."""
     spark = df.sparkSession
@@ -38,7 +46,7 @@ def create_if_missing(df: DataFrame, name: str) -> bool:
 
 
 def replace(df: DataFrame, name: str, reads_itself: bool = False) -> None:
-    """Create the table or replace its rows and schema.
+    """Create the table or replace its rows and schema; what it is partitioned by stays.
 
     A `df` that reads the table itself goes by way of a staged copy; others are
     written once.
@@ -47,11 +55,12 @@ def replace(df: DataFrame, name: str, reads_itself: bool = False) -> None:
     if not spark.catalog.tableExists(name):
         df.write.format(FORMAT).saveAsTable(name)
         return
+    kept = [c for c in partition_columns(spark, name) if c in df.columns]
     staged = f"{name}_staged_{uuid.uuid4().hex[:8]}"
     if reads_itself:
         df.write.format(FORMAT).saveAsTable(staged)
         df = spark.table(staged)
-    df.write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).saveAsTable(name)
+    df.write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).partitionBy(*kept).saveAsTable(name)
     if reads_itself:
         spark.sql(f"DROP TABLE {staged}")
 

@@ -1,32 +1,32 @@
-"""File-arrival ingest: a streaming CSV source, casts, and a replay-safe keyed append."""
+"""File-arrival ingest: a stream of landed files, loaded batch by batch as a batch run loads them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradevigil.operators import features, investigation
 from tradevigil.operators.joins import one_per_key
 from tradevigil.schemas import FEEDS, FeedSpec
-from tradevigil.sources.feeds import cast_columns
+from tradevigil.sources.feeds import LOAD_COLUMNS, load_files
 from tradevigil.sources.tables import append_unseen
 
 BatchStep = Callable[[DataFrame], None]
 
 
-def feed_stream(spark: SparkSession, feed: FeedSpec | str, src_dir: str, files_per_trigger: int = 1000) -> DataFrame:
-    """The feed's landing folder as a stream of cast rows; text columns as declared."""
-    feed = FEEDS[feed] if isinstance(feed, str) else feed
+def landing_stream(spark: SparkSession, src_dir: str, files_per_trigger: int = 1000) -> DataFrame:
+    """(file_path) of the *.csv files of a folder as they land; contents are not read."""
     landed = (
-        spark.readStream.schema(feed.landed_schema)
-        .option("header", True)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .csv(src_dir)
+        .load(src_dir)
     )
-    return cast_columns(landed, feed.dates, feed.doubles)
+    return landed.select(F.col("_metadata.file_path").alias("file_path"))
 
 
 def ingest_stream(
@@ -40,21 +40,29 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Take in what has landed, then stop; the checkpoint remembers the files.
 
-    A batch that is replayed after a failure adds nothing, as only unseen keys are
-    appended. `then` gets the cast rows of each batch after they are stored.
+    A micro-batch is a list of files, loaded as a batch run loads them: every row, into
+    the same table and ledger (beside `table`). Files the ledger holds are not loaded again,
+    so a replayed batch, a lost checkpoint or an earlier batch run adds nothing. `then` gets
+    the stored rows of each batch, without the load columns.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     target = table or feed.table
+    ledger = ".".join([*target.split(".")[:-1], feed.ledger])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_unseen(batch, target, feed.key, unique=True)
-        if then is not None:
-            then(batch)
+        paths = [r["file_path"] for r in batch.collect()]  # names, at most `files_per_trigger`
+        if not paths:
+            return
+        rows = load_files(batch.sparkSession, paths, target, ledger, feed.dates, feed.doubles)
+        if rows is None:
+            return
         # batches run in a session of their own; let the caller's see the new files
         spark.catalog.refreshTable(target)
+        if then is not None:
+            then(rows.drop(*LOAD_COLUMNS))
 
     return (
-        feed_stream(spark, feed, src_dir, files_per_trigger)
+        landing_stream(spark, src_dir, files_per_trigger)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
