@@ -136,3 +136,18 @@ def test_edges_need_both_ends(spark):
 def test_repeated_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     assert [tuple(r) for r in graph.repeated_keys(df, ["k"]).collect()] == [("a", 2)]
+
+
+def test_first_chain_by_its_text(spark):
+    """A name that another one begins with is not first once the arrow follows; a missing name is '?'."""
+    rows = [("A", "B", "FAMILY"), ("A", "B", "FAMILY MEMBER"), ("C", "D", None), ("C", "D", "X")]
+    chains = {r["root"]: r["chain"] for r in graph.relationship_chain(spark.createDataFrame(rows, EDGE)).collect()}
+    assert chains == {"A": "A -[FAMILY MEMBER]-> B", "C": "C -[?]-> D"}
+
+
+def test_exposure_beyond_the_rounded_amount(spark):
+    """Amounts too large for the rounded column still count."""
+    schema = "client_id string, underlying string, notional decimal(20,2), notional1 double, days_to_next_event int, trade_date date"
+    rows = spark.createDataFrame([("c", "U", None, 1e20, 1, None), ("c", "U", None, 5.0, 2, None)], schema)
+    assert float(graph.client_exposure(rows).first()["exposure"]) == 1e20 + 5
+    assert graph.hot_instruments(rows).first()["total_exposure"] == 1e20

@@ -128,3 +128,18 @@ def test_risk_table_highlight(spark):
     df = spark.createDataFrame([("t1", "c", 1), ("t2", "c", 3), ("t3", "c", 5)], "trade_id string, client_id string, anomaly_score int")
     got = {r["trade_id"]: r["highlight"] for r in report.trade_risk_table(df, low=0.5).collect()}
     assert got == {"t1": 0, "t2": 1, "t3": 1}
+
+
+def test_running_count_of_repeated_and_missing_ids(spark, views):
+    """Rows that share an id, or have none, are counted one by one, as rows of a window are."""
+    one = views.store.limit(1).withColumn("client_id", F.lit("c")).withColumn("trade_date", F.lit("2024-01-01").cast("date"))
+
+    def counts(given):
+        keys = spark.createDataFrame([(i,) for i in given], "new_id string")
+        rows = one.crossJoin(keys).withColumn("trade_id", F.col("new_id")).drop("new_id")
+        found = investigation.iq_trades(rows).select("trade_id", "rolling_frequency").collect()
+        return sorted((r[0] or "", r[1]) for r in found)
+
+    assert counts(["a", "a", "a", "b", "c", "d"]) == [("a", 1), ("a", 2), ("a", 3), ("b", 4), ("c", 5), ("d", 6)]
+    assert counts([None, "b"]) == [("", 1), ("b", 2)]
+    assert [n for _, n in counts(["a"] * 5 + ["b"] * 5 + ["c"])] == [1, 2, 3, 4, 5, 6, 7, 8, 8, 8, 8]

@@ -18,6 +18,11 @@ def fixed_point(c: ColumnLike, kind: str) -> Column:
     return _col(c).try_cast(kind)
 
 
+def exposure(c: ColumnLike = "notional1") -> Column:
+    """A traded amount as a decimal wide enough for every amount, so that sums are exact."""
+    return fixed_point(c, "decimal(30,2)")
+
+
 def as_day(c: ColumnLike) -> Column:
     return _col(c).try_cast("date")
 

@@ -166,7 +166,9 @@ def trade_nodes_by_prefix(nodes: DataFrame, prefix: str = "SWP") -> DataFrame:
 
 
 def _folded(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"), F.min("relationship").alias("relationship"))
+    """Per pair, the number of links and the link that comes first in the text of a chain."""
+    first_arrow = F.min(F.concat(F.lit(" -["), F.coalesce("relationship", F.lit("?")), F.lit("]-> ")))
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"), first_arrow.alias("arrow"))
 
 
 def _walks_by_hop(links: DataFrame, at: str, hops: int) -> list[DataFrame]:
@@ -213,12 +215,12 @@ def _hubs(links: DataFrame, max_hops: int, pairs_per_task: int) -> DataFrame | N
 
 def _step(links: DataFrame, reached: DataFrame, hubs: DataFrame | None) -> DataFrame:
     """All (link start -> root, then reached root -> peer), cut where a middle client is a hub."""
-    onto = links.select(F.col("src").alias("start"), F.col("dst").alias("root"), "m", "relationship")
+    onto = links.select(F.col("src").alias("start"), F.col("dst").alias("root"), "m", "arrow")
     return pair_join(onto, reached, ["root"], ["start"], ["peer"], hubs)
 
 
 def _last_hop(links: DataFrame, targets: DataFrame | None) -> DataFrame:
-    last = links.select(F.col("src").alias("root"), F.col("dst").alias("peer"), "m", "relationship")
+    last = links.select(F.col("src").alias("root"), F.col("dst").alias("peer"), "m", "arrow")
     return last if targets is None else last.join(targets.select(F.col("client_id").alias("peer")), "peer", "left_semi")
 
 
@@ -293,13 +295,10 @@ def relationship_chain(
     """
     links = _folded(edges)
 
-    def arrow():
-        return F.concat(F.lit(" -["), F.coalesce("relationship", F.lit("?")), F.lit("]-> "))
-
-    first = _last_hop(links, targets).select("root", "peer", F.concat("root", arrow(), "peer").alias("chain"))
+    first = _last_hop(links, targets).select("root", "peer", F.concat("root", "arrow", "peer").alias("chain"))
 
     def shape(df: DataFrame) -> DataFrame:
-        return df.select(F.col("start").alias("root"), "peer", F.concat("start", arrow(), "chain").alias("chain"))
+        return df.select(F.col("start").alias("root"), "peer", F.concat("start", "arrow", "chain").alias("chain"))
 
     def fold(df: DataFrame) -> DataFrame:
         return df.groupBy("root", "peer").agg(F.min("chain").alias("chain"))
@@ -321,7 +320,7 @@ def _traded(iq_trades: DataFrame, instruments: DataFrame) -> DataFrame:
 def client_exposure(trades: DataFrame) -> DataFrame:
     """Per (client, underlying): exposure, trades, nearest event, first and last trade day."""
     return trades.where(F.col("client_id").isNotNull()).groupBy("client_id", "underlying").agg(
-        F.sum("notional").alias("exposure"),
+        F.sum(fx.exposure()).alias("exposure"),
         F.count(F.lit(1)).alias("trades"),
         F.min("days_to_next_event").alias("nearest"),
         F.min("trade_date").alias("earliest"),
@@ -473,7 +472,7 @@ def hot_instruments(
         iq_trades.where(F.col("days_to_next_event") <= max_days)
         .groupBy("underlying")
         .agg(
-            F.sum("notional").cast("double").alias("total_exposure"),
+            F.sum(fx.exposure()).cast("double").alias("total_exposure"),
             F.count(F.lit(1)).alias("trades"),
             F.min("days_to_next_event").alias("min_days_to_event"),
         )

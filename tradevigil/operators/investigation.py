@@ -47,12 +47,33 @@ def client_trade_stats(store: DataFrame) -> DataFrame:
         .withColumn("position", F.row_number().over(in_order))
         .where(F.col("position") <= EARLIER_ROWS)
         .groupBy("client_id")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "trade_id"))).getField("trade_id").alias("first_trades"))
+        .agg(F.sort_array(F.collect_list(F.struct("position", "trade_date", "trade_id"))).alias("first_trades"))
     )
     client = _on_client(averages, firsts)
     return _on_client(pairs.select("client_id", "underlying", "pair_trades"), client)
 
 
+def _running_count(trades: DataFrame) -> DataFrame:
+    """`rolling_frequency` from the client's `first_trades`: the row's place by day and id, up to 8.
+
+    Rows of one client, day and id (repeated or without an id) come one after the other, in
+    order of a hash of the row. Only rows at a place among the first need that order.
+    """
+
+    def same(first):
+        return first["trade_date"].eqNullSafe(F.col("trade_date")) & first["trade_id"].eqNullSafe(F.col("trade_id"))
+
+    most = F.lit(EARLIER_ROWS + 1)
+    start = F.get(F.filter("first_trades", same), F.lit(0))["position"]
+    known = trades.withColumn("first_place", start)
+    own = [c for c in trades.columns if c != "first_trades"]
+    repeats = Window.partitionBy("client_id", "trade_date", "trade_id").orderBy(F.xxhash64(*own))
+    place = F.least(F.col("first_place") + F.row_number().over(repeats) - 1, most)
+    early = known.where(F.col("first_place").isNotNull()).withColumn("rolling_frequency", place.cast("long"))
+    late = known.where(F.col("first_place").isNull()).withColumn("rolling_frequency", most.cast("long"))
+    return early.unionByName(late)
+
+
 def _on_client(left: DataFrame, right: DataFrame) -> DataFrame:
     """Null-safe left join on the client: trades without one form a group of their own."""
     other = right.withColumnRenamed("client_id", "same_client")
@@ -78,8 +99,8 @@ def iq_trades(store: DataFrame, existing: DataFrame | None = None, scope: str =
     same_pair = F.col("client_id").eqNullSafe(F.col("stat_client")) & F.col("underlying").eqNullSafe(
         F.col("stat_underlying")
     )
-    position = F.nullif(F.array_position("first_trades", F.col("trade_id")), F.lit(0))
-    return fresh.join(stats, same_pair, "left").select(
+    placed = _running_count(fresh.join(stats, same_pair, "left"))
+    return placed.select(
         "trade_id",
         "client_id",
         "underlying",
@@ -90,7 +111,7 @@ def iq_trades(store: DataFrame, existing: DataFrame | None = None, scope: str =
         fx.ratio(F.col("notional").cast("float"), "client_average").alias("notional_vs_avg"),
         fx.flag(F.col("pair_trades") == 1).alias("new_exposure_flag"),
         fx.above("notional", fx.LARGE_TRADE).alias("large_trade_flag"),
-        F.coalesce(position, F.lit(EARLIER_ROWS + 1)).cast("long").alias("rolling_frequency"),
+        "rolling_frequency",
         F.col("label_insider").alias("is_insider"),
         "days_to_next_event",
         "event_within_7d",

@@ -13,7 +13,7 @@ from tradevigil.schemas import NO_EVENT_DAYS
 
 def total_exposure() -> Column:
     """Summed as fixed point, so the order of rows cannot change the last digits."""
-    return F.sum(fx.fixed_point("notional1", "decimal(20,2)")).cast("double").alias("total_exposure")
+    return F.sum(fx.exposure()).cast("double").alias("total_exposure")
 
 
 def avg_risk() -> Column:
@@ -21,7 +21,7 @@ def avg_risk() -> Column:
 
 
 def cluster_flag(max_days: int = fx.NEAR_EVENT_DAYS, min_exposure: float = fx.HALF_BILLION) -> Column:
-    exposure = F.sum(fx.fixed_point("notional1", "decimal(20,2)"))
+    exposure = F.sum(fx.exposure())
     suspicious = (exposure > min_exposure) & (F.min("days_to_next_event") <= max_days)
     return F.when(suspicious, F.lit("Suspicious Cluster")).otherwise(F.lit("Normal")).alias("cluster_flag")
 

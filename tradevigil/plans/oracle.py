@@ -107,11 +107,11 @@ FROM links a JOIN links b ON b.src = a.dst JOIN links c ON c.src = b.dst""",
 SELECT * FROM iq_trades WHERE days_to_next_event <= 2 AND underlying IN (SELECT underlying FROM instruments_raw)""",
     "event_clusters": """
 SELECT root AS root_client, underlying, count(DISTINCT peer) AS connected_clients,
-       CAST(sum(notional) AS DOUBLE) AS total_exposure, min(days_to_next_event) AS min_days_to_event
+       CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure, min(days_to_next_event) AS min_days_to_event
 FROM reach JOIN near_trades ON client_id = peer GROUP BY root, underlying""",
     "event_clusters_by_walk": """
 SELECT root AS root_client, underlying, count(DISTINCT peer) AS connected_clients,
-       CAST(sum(notional) AS DOUBLE) AS total_exposure, min(days_to_next_event) AS min_days_to_event
+       CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure, min(days_to_next_event) AS min_days_to_event
 FROM walks JOIN near_trades ON client_id = peer GROUP BY root, underlying""",
     "scored": """
 SELECT trade_id, label_insider, heuristic_surveillance_score / 110.0::DOUBLE AS predicted_probability,
@@ -249,16 +249,16 @@ FROM reach JOIN iq_trades ON client_id = peer WHERE underlying IN (SELECT underl
     "potential_insider_cluster": """
 SELECT *, 'potential insider cluster' AS finding FROM event_clusters WHERE connected_clients >= 2 AND total_exposure > 500000000""",
     "hot_instruments": """
-SELECT underlying, CAST(sum(notional) AS DOUBLE) AS total_exposure, count(*) AS trades, min(days_to_next_event) AS min_days_to_event
+SELECT underlying, CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure, count(*) AS trades, min(days_to_next_event) AS min_days_to_event
 FROM iq_trades WHERE days_to_next_event <= 2 GROUP BY underlying HAVING sum(notional) > 500000000""",
     "coordinated_trading": """
 SELECT root AS root_client, underlying, count(DISTINCT peer) AS connected_clients, count(*) AS trades,
-       CAST(sum(notional) AS DOUBLE) AS total_exposure, CAST(min(trade_date) AS VARCHAR) AS earliest_trade,
+       CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure, CAST(min(trade_date) AS VARCHAR) AS earliest_trade,
        CAST(max(trade_date) AS VARCHAR) AS latest_trade
 FROM reach JOIN iq_trades ON client_id = peer WHERE underlying IN (SELECT underlying FROM instruments_raw)
 GROUP BY root, underlying HAVING count(DISTINCT peer) >= 2""",
     "explain_flags": f"SELECT * FROM ({REASONS}) WHERE reasons <> ''",
-    "total_exposure": "SELECT CAST(sum(notional) AS DOUBLE) AS total_exposure FROM iq_trades",
+    "total_exposure": "SELECT CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure FROM iq_trades",
     "avg_risk": "SELECT avg(anomaly_score) AS avg_risk FROM iq_trades",
     "cluster_flag": """
 SELECT CASE WHEN sum(notional) > 500000000 AND min(days_to_next_event) <= 2 THEN 'Suspicious Cluster' ELSE 'Normal' END AS cluster_flag
@@ -277,13 +277,13 @@ SELECT CAST(sum(days_to_next_event) AS BIGINT) AS sum_days_to_next_event FROM ev
     "network_edges": """
 SELECT client_id, connected_client, count(*) AS weight FROM iq_clients WHERE connected_client IS NOT NULL GROUP BY ALL""",
     "exposure_by_from_client": """
-SELECT client_id, CAST(sum(notional) AS DOUBLE) AS total_exposure FROM iq_trades
+SELECT client_id, CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure FROM iq_trades
 WHERE client_id IN (SELECT from_client FROM relationships_raw) GROUP BY client_id""",
     "exposure_by_to_client": """
-SELECT client_id, CAST(sum(notional) AS DOUBLE) AS total_exposure FROM iq_trades
+SELECT client_id, CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure FROM iq_trades
 WHERE client_id IN (SELECT to_client FROM relationships_raw) GROUP BY client_id""",
     "measures_by_underlying": """
-SELECT underlying, jurisdiction_risk, CAST(sum(notional) AS DOUBLE) AS total_exposure, avg(anomaly_score) AS avg_risk
+SELECT underlying, jurisdiction_risk, CAST(sum(CAST(notional1 AS DECIMAL(30,2))) AS DOUBLE) AS total_exposure, avg(anomaly_score) AS avg_risk
 FROM iq_trades GROUP BY underlying, jurisdiction_risk""",
     "class_balance": """
 SELECT label_insider, count(*) AS n_rows, CAST(sum(count(*)) OVER () AS DOUBLE) / count(*) OVER () / count(*) AS weight
