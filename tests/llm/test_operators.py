@@ -250,7 +250,7 @@ def test_main_text_of_odd_pages(spark):
     assert maintext.report(pages.limit(0)).count() == 0
 
 
-def test_offending_sentence_is_found():
+def test_offending_sentence_is_found(spark):
     rng = np.random.default_rng(5)
 
     def text(bad):
@@ -260,11 +260,12 @@ def test_offending_sentence_is_found():
         return ". ".join(parts) + "."
 
     truth = [i % 2 for i in range(200)]
-    model = toxicity.train([text(t) for t in truth], truth, 0.5)
+    sample = spark.createDataFrame([(t, text(t)) for t in truth] + [(0, None), (1, "")], "toxic int, text string")
+    model = toxicity.train(sample, 0.5)
     own = text(1)
     score, at, worst = model.score(own)
     assert score > 0.5 > model.score(text(0))[0] and at <= own.index("grobian") < at + 60 and worst <= score
-    assert model.score("")[0] == 0.5 and toxicity.train([], [], 0.0).score("a b")[0] < 0.01
+    assert model.score("")[0] == 0.5 and toxicity.train(sample.limit(0), 0.0).score("a b")[0] < 0.01
 
 
 def test_unseen_words_fall_back():

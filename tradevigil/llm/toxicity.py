@@ -9,12 +9,12 @@ the offending ones.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,8 @@ DOCS_PER_LABEL = 3000
 #: Lengths of n-grams, the number of features kept (those that tell the labels apart best, by
 #: chi-square), and the fewest training documents that one must stand in.
 GRAMS, FEATURES_KEPT, LEAST_DOCS = (4, 5, 6), 3000, 6
+#: Entries that a task holds before it hands out its counts.
+COUNTED_AT_ONCE = 300_000
 #: Gradient steps, their size, the pull of weights towards 0, and where the bias starts.
 STEPS, RATE, PULL, BIAS = 200, 0.2, 2e-4, -4.0
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -71,75 +73,138 @@ class Model:
         return float(total), at[worst], float(scores[worst])
 
 
-def chosen_features(split: list[list[list[str]]], labels: list[int]) -> dict[str, int]:
-    """Numbers of the features that tell the labels apart best."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    of: dict[str, set[str]] = {}
-    for doc, label in zip(split, labels, strict=True):
-        own: set[str] = set()
-        for word in {w for sentence in doc for w in sentence}:
-            if word not in of:
-                of[word] = features(word)
-            own |= of[word]
-        seen[label].update(own)
-    n1, n0 = sum(labels), len(labels) - sum(labels)
-    names = [f for f in seen[0].keys() | seen[1].keys() if seen[0][f] + seen[1][f] >= LEAST_DOCS]
-    one, none = (np.array([seen[i][f] for f in names], dtype=float) for i in (1, 0))
-    total, n = one + none, n1 + n0
-    chi = n * (one * n0 - none * n1) ** 2 / np.maximum(total * (n - total) * n1 * n0, 1)
-    order = sorted(range(len(names)), key=lambda i: (-chi[i], names[i]))[:FEATURES_KEPT]
-    return {names[i]: k for k, i in enumerate(order)}
-
-
-def train(texts: list[str | None], labels: list[int], base: float) -> Model:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[str]]]]:
+    """Label and sentences of the documents of a sample with columns `toxic` and `text`."""
+    for batch in batches:
+        for label, text in zip(batch.column(0), batch.column(1), strict=True):
+            yield label.as_py(), [own for _, own in sentences(text.as_py())]
+
+
+def chosen_features(sample: DataFrame) -> dict[str, int]:
+    """Numbers of the features that tell the labels of a sample (`toxic`, `text`) apart best.
+
+    Counted in the tasks and summed by Spark; only the chosen ones reach the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list[int]] = {}
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), *(pa.array([n[i] for n in found.values()], pa.int64()) for i in (0, 1))],
+                ["feature", "n0", "n1"],
+            )
+
+        for label, doc in _texts(batches):
+            own: set[str] = set()
+            for word in {w for sentence in doc for w in sentence}:
+                own |= features(word)
+            for f in own:
+                found.setdefault(f, [0, 0])[label] += 1
+            if len(found) > COUNTED_AT_ONCE:
+                yield counted()
+                found = {}
+        yield counted()
+
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n0, n1 = float(n.get(0, 0)), float(n.get(1, 0))
+    if not n0 or not n1:
+        return {}
+    counts = sample.select("toxic", "text").mapInArrow(run, "feature string, n0 bigint, n1 bigint").groupBy("feature")
+    counts = counts.agg(F.sum("n0").cast("double").alias("none"), F.sum("n1").cast("double").alias("one"))
+    total = F.col("none") + F.col("one")
+    apart = F.pow(F.col("one") * n0 - F.col("none") * n1, 2)
+    chi = (n0 + n1) * apart / F.greatest(total * (F.lit(n0 + n1) - total) * (n1 * n0), F.lit(1.0))
+    best = counts.where(total >= LEAST_DOCS).orderBy(chi.desc(), "feature").limit(FEATURES_KEPT).select("feature").collect()
+    return {r["feature"]: i for i, r in enumerate(best)}
+
+
+def _encoded(sample: DataFrame, chosen: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """The sample as numbers: `toxic`, `lengths`, `words` per document with sentences, the words
+    (64-bit hashes) that have chosen features sentence by sentence; and `word`, `ids` per word."""
+    shared = sample.sparkSession.sparkContext.broadcast(chosen)
+
+    def chosen_ids(of: dict[str, list[int]], word: str) -> list[int]:
+        if word not in of:
+            if len(of) > COUNTED_AT_ONCE:
+                of.clear()
+            of[word] = sorted(shared.value[f] for f in features(word) if f in shared.value)
+        return of[word]
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[str, list[int]] = {}
+        for label, doc in _texts(batches):
+            if not doc:
+                continue
+            kept = [[xxhash.xxh64_intdigest(w) for w in own if chosen_ids(of, w)] for own in doc]
+            words = np.array([w for own in kept for w in own], dtype="<u8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label], pa.int32()), pa.array([[len(k) for k in kept]], pa.list_(pa.int32())), pa.array([words.tobytes()])],
+                ["toxic", "lengths", "words"],
+            )
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[str, list[int]] = {}
+        for _, doc in _texts(batches):
+            own = [w for w in {w for sentence in doc for w in sentence} if w not in of and chosen_ids(of, w)]
+            hashes = np.array([xxhash.xxh64_intdigest(w) for w in own], dtype=np.uint64).astype(np.int64)
+            ids = [np.array(of[w] if w in of else chosen_ids(of, w), dtype="<i4").tobytes() for w in own]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(ids, pa.binary())], ["word", "ids"])
+
+    rows = sample.select("toxic", "text")
+    found = rows.mapInArrow(table, "word bigint, ids binary").groupBy("word").agg(F.min("ids").alias("ids"))
+    return rows.mapInArrow(documents, "toxic int, lengths array<int>, words binary"), found
+
+
+def train(sample: DataFrame, base: float) -> Model:
     """Weights by gradient steps (Adam) on the likelihood of the labels under the noisy-or.
 
+    `sample` (`toxic`, `text`) is turned into numbers by Spark; the driver gets, of its
+    documents, 8 bytes a word with chosen features, and each distinct such word's features.
     `base`: score of texts without sentences, and of all texts if the labels do not differ.
     """
-    split = [[own for _, own in sentences(t)] for t in texts]
-    words = chosen_features(split, labels) if labels else {}
-    numbers: dict[str, list[int]] = {}
-    docs, rows, columns, truth = [], [], [], []
-    for doc, label in zip(split, labels, strict=True):
-        if not doc:
-            continue
-        for own in doc:
-            ids = []
-            for w in own:
-                if w not in numbers:
-                    numbers[w] = [words[f] for f in features(w) if f in words]
-                ids += numbers[w]
-            columns += ids
-            rows += [len(docs)] * len(ids)
-            docs.append(len(truth))
-        truth.append(label)
-    size = len(words) + 1
-    if not truth or min(truth) == max(truth):
+    chosen = chosen_features(sample)
+    found, table = _encoded(sample, chosen)
+    docs = found.orderBy("toxic", "words").collect()
+    y = np.array([r["toxic"] for r in docs])
+    if not chosen or not len(y) or y.min() == y.max():
         return Model({}, float(np.log((base + 1e-6) / (1 - base + 1e-6))), base)
-    doc, row, column, y = np.array(docs), np.array(rows, dtype=np.intp), np.array(columns, dtype=np.intp), np.array(truth)
+    size = len(chosen) + 1
+    per_doc = [len(r["lengths"]) for r in docs]
+    doc = np.repeat(np.arange(len(docs)), per_doc)  # of each sentence
+    lengths = np.concatenate([np.array(r["lengths"], dtype=np.int64) for r in docs])
+    sentence = np.repeat(np.arange(len(doc)), lengths)  # of each word in a text
+    entries = table.orderBy("word").collect()
+    names = np.array([r["word"] for r in entries], dtype=np.int64)
+    word = np.searchsorted(names, np.concatenate([np.frombuffer(r["words"], dtype="<u8") for r in docs]).astype(np.int64))
+    row = np.repeat(np.arange(len(entries)), [len(r["ids"]) // 4 for r in entries])  # word of each (word, feature)
+    column = np.frombuffer(b"".join(bytes(r["ids"]) for r in entries), dtype="<i4").astype(np.intp)
     theta = np.zeros(size)
     theta[-1] = BIAS
     first, second = np.zeros(size), np.zeros(size)
     for step in range(1, STEPS + 1):
-        z = np.bincount(row, theta[column], minlength=len(doc)) + theta[-1]
+        of_word = np.bincount(row, theta[column], minlength=len(names))
+        z = np.bincount(sentence, of_word[word], minlength=len(doc)) + theta[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         any_ = np.maximum(-np.expm1(none), 1e-9)
         slope = np.where(y == 1, -np.exp(none) / any_, 1.0)[doc] * p / len(y)
-        gradient = np.bincount(column, slope[row], minlength=size)
+        by_word = np.bincount(word, slope[sentence], minlength=len(names))
+        gradient = np.bincount(column, by_word[row], minlength=size)
         gradient[-1] += slope.sum()
-        gradient[:-1] += PULL * theta[:-1] / len(words) if words else 0
+        gradient[:-1] += PULL * theta[:-1] / len(chosen)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model({f: float(theta[i]) for f, i in words.items()}, float(theta[-1]), base)
+    return Model({f: float(theta[i]) for f, i in chosen.items()}, float(theta[-1]), base)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Trained on labelled documents whose crc32(doc_id) mod 5 is not 0.
 
-    At most `DOCS_PER_LABEL` documents of either label reach the driver. If a document has
-    several labels the largest counts; rows of a label with NULL id or label are left out.
+    At most `DOCS_PER_LABEL` documents of either label are learned from. If a document has
+    several labels the largest counts; rows of a label with NULL id or label are left out,
+    and of documents that share an id one is taken, by its text's hash.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (remainder("doc_id", 5) != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -149,10 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ]
     # at most 2 * DOCS_PER_LABEL pairs of numbers
     chosen = stored(drawn[0].unionByName(drawn[1]), "sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one_each = rows.groupBy("doc_id", F.col("toxic").cast("int").alias("toxic")).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     base = known.agg(F.avg("toxic")).first()[0] or 0.0
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows], float(base))
+    return train(stored(one_each, "labelled"), float(base))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
