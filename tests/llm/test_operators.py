@@ -220,6 +220,29 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()) == [1, 2]
 
 
+def test_no_near_copy_hides_behind_a_wrong_link(spark):
+    """Drifting copies, many a little under and over the similarity, against all pairs."""
+    rng = np.random.default_rng(5)
+    texts = [f"v{x}" for x in rng.integers(0, 800, 120)], [f"v{x}" for x in rng.integers(0, 800, 60)]
+    rows = []
+    for i in range(160):
+        text = list(texts[i % 2])
+        for at in rng.integers(0, len(text), int(rng.integers(0, 6))):
+            text[at] = f"v{rng.integers(0, 800)}"
+        rows.append((i, " ".join(text)))
+    rows += [(200, "a b"), (201, "b a"), (202, "a a b")]  # one fingerprint, different texts
+    fp = [simhash.simhash(t, 1, True) for _, t in rows]
+    near = [(i, j) for j in range(len(rows)) for i in range(j) if (fp[i] ^ fp[j]).bit_count() <= 8]
+    alike = [(i, j) for i, j in near if simhash.jaccard(rows[i][1], rows[j][1], 5) >= 0.8]
+    assert 100 < len(alike) < len(near) - 100
+    root = list(range(len(rows)))
+    for i, j in alike:
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    kept = {r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()}
+    assert kept == {rows[r][0] for r in root}
+
+
 def test_order_is_seen(spark):
     a = [f"a{i}" for i in range(300)]
     rows = spark.createDataFrame([(" ".join(a), " ".join(a[150:] + a[:150])), ("x " * 50, "x " * 40)], "a string, b string")

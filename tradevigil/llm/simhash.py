@@ -158,30 +158,33 @@ def reach(values: np.ndarray, seg: Segment) -> tuple[np.ndarray, np.ndarray, np.
     return index, part[index] ^ seg.patterns[seg.offsets[of][index] + within], within == 0
 
 
-def anchored(fps: DataFrame, threshold: int) -> DataFrame:
-    """`part`, `anchor`, `home`, `fp`: each fingerprint at each anchor in reach."""
+def anchored(fps: DataFrame, threshold: int, carried: list[str]) -> DataFrame:
+    """`part`, `anchor`, `home`, `fp`: each fingerprint at each anchor in reach, with columns carried along."""
     segs = segments(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for block in np.array_split(values, len(values) // 4096 + 1):
+            for rows in np.array_split(np.arange(len(values)), len(values) // 4096 + 1):
                 for part, seg in enumerate(segs):
-                    index, anchor, home = reach(block, seg)
+                    index, anchor, home = reach(values[rows], seg)
+                    index = rows[index]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(index), part, dtype=np.int8)),
                             pa.array(anchor.astype(np.int32)),
                             pa.array(home),
-                            pa.array(block[index].view(np.int64)),
+                            pa.array(values[index].view(np.int64)),
+                            *[batch.column(c).take(pa.array(index)) for c in carried],
                         ],
-                        ["part", "anchor", "home", "fp"],
+                        ["part", "anchor", "home", "fp", *carried],
                     )
 
-    return fps.select("fp").mapInArrow(run, "part tinyint, anchor int, home boolean, fp bigint")
+    columns = ["part tinyint", "anchor int", "home boolean", "fp bigint", *[f"{c} bigint" for c in carried]]
+    return fps.select("fp", *carried).mapInArrow(run, ", ".join(columns))
 
 
-def _cells(rows: DataFrame) -> DataFrame:
+def _cells(rows: DataFrame, carried: list[str]) -> DataFrame:
     """Adds the cell (`i`, `j`): a large anchor's homes x members are cut into a grid.
 
     The sizes of all anchors are counted; there are at most 2**18 + 2 * 2**12 of them, so
@@ -201,7 +204,7 @@ def _cells(rows: DataFrame) -> DataFrame:
     sized = rows.join(F.broadcast(large), ["part", "anchor"], "left").withColumns(
         {"n_i": F.greatest(F.lit(1), F.coalesce("n_i", F.lit(1))), "n_j": F.greatest(F.lit(1), F.coalesce("n_j", F.lit(1)))}
     )
-    mine = F.xxhash64(F.lit("cell"), "fp")
+    mine = F.xxhash64(F.lit("cell"), "fp", *carried)
     i, j = F.pmod(mine, F.col("n_i")).cast("int"), F.pmod(mine, F.col("n_j")).cast("int")
     as_member = F.transform(
         F.sequence(F.lit(0), F.col("n_i") - 1),
@@ -213,40 +216,50 @@ def _cells(rows: DataFrame) -> DataFrame:
     )
     split = F.col("home") & (F.col("n_i") * F.col("n_j") > 1)
     places = F.when(split, F.concat(as_member, as_home)).otherwise(as_member)
-    return sized.select("part", "anchor", "fp", F.explode(places).alias("at")).select("part", "anchor", "at.*", "fp")
+    return sized.select("part", "anchor", "fp", *carried, F.explode(places).alias("at")).select("part", "anchor", "at.*", "fp", *carried)
 
 
-def forest(homes: np.ndarray, members: np.ndarray, threshold: int) -> tuple[list[int], list[int]]:
-    """Links that connect whatever links of `homes` to `members` connect; no others."""
+def forest(
+    homes: np.ndarray, members: np.ndarray, threshold: int, home_ids: np.ndarray, member_ids: np.ndarray, every: bool
+) -> tuple[list[int], list[int]]:
+    """Links that connect whatever links of `homes` to `members` connect; no others.
+
+    Ids have two columns: a row's name, and the class it is known to be in. No link is made
+    within a class. With `every`, all links between different classes, not a forest of them.
+    """
     a: list[int] = []
     b: list[int] = []
-    label = np.arange(len(members))
+    label = np.unique(np.concatenate([home_ids[:, 1], member_ids[:, 1]]), return_inverse=True)[1]
+    mine, label = label[: len(homes)], label[len(homes) :]
     width = max(1, (1 << 22) // max(1, len(members)))
     for at in range(0, len(homes), width):
         block = homes[at : at + width]
         near = np.bitwise_count(block[:, None] ^ members[None, :]) <= threshold
         own = np.isin(block, members)
         for row in np.flatnonzero(near.sum(axis=1) > own):
-            home = block[row]
+            home = at + row
             linked = np.flatnonzero(near[row])
-            labels, first = np.unique(label[linked], return_index=True)
-            mine = label[np.flatnonzero(members == home)] if own[row] else []
-            for k, f in zip(labels, linked[first], strict=True):
-                if k not in mine:
-                    a.append(int(home))
-                    b.append(int(members[f]))
-            if len(labels) > 1:
-                label[np.isin(label, labels)] = labels[0]
+            linked = linked[label[linked] != mine[home]]
+            if not every:
+                labels, first = np.unique(label[linked], return_index=True)
+                linked = linked[first]
+                label[np.isin(label, labels)] = mine[home]
+                mine[np.isin(mine, labels)] = mine[home]
+            a += [int(home_ids[home, 0])] * len(linked)
+            b += member_ids[linked, 0].tolist()
     return a, b
 
 
-def _matched(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+def _matched(
+    batches: Iterator[pa.RecordBatch], threshold: int, carried: list[str], every: bool
+) -> Iterator[pa.RecordBatch]:
     """Forest of each cell; rows arrive in order of their cell."""
     names = ["part", "anchor", "i", "j"]
     rest: list[pa.RecordBatch] = []
 
     def edges(rows: pa.Table) -> pa.RecordBatch:
         fp = rows["fp"].to_numpy().view(np.uint64)
+        ids = np.stack([rows[c].to_numpy() for c in carried or ["fp", "fp"]], axis=1)
         home, member = rows["home"].to_numpy(), rows["member"].to_numpy()
         keys = np.stack([rows[n].to_numpy().astype(np.int64) for n in names])
         cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
@@ -254,10 +267,11 @@ def _matched(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.R
         a: list[int] = []
         b: list[int] = []
         for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-            found = forest(fp[s:e][home[s:e]], fp[s:e][member[s:e]], threshold)
+            h, m = s + np.flatnonzero(home[s:e]), s + np.flatnonzero(member[s:e])
+            found = forest(fp[h], fp[m], threshold, ids[h], ids[m], every)
             a += found[0]
             b += found[1]
-        arrays = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (a, b)]
+        arrays = [pa.array(x, pa.int64()) for x in (a, b)]
         return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
     def key(batch: pa.RecordBatch, row: int) -> list:
@@ -283,17 +297,21 @@ def _matched(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.R
         yield edges(pa.Table.from_batches(rest))
 
 
-def links(fps: DataFrame, threshold: int) -> DataFrame:
-    """`a`, `b`: links between different fingerprints that differ in `threshold` bits or fewer.
+def links(fps: DataFrame, threshold: int, every: bool = False, turn: int = 0) -> DataFrame:
+    """`a`, `b`: links between rows whose `fp` differ in `threshold` bits or fewer.
 
     Not all of them (a group of n would have n * n / 2): per cell those of a spanning
-    forest, so that `components` of the result are those of all links.
+    forest, so that `components` of the result are those of all links. Rows are named by
+    their `fp`, or, if there are columns `key` and `class`, by `key`; rows of one class are
+    not linked. `turn` changes which of the forests is found, `every` asks for all links.
     """
-    unique = fps.select("fp").where("fp IS NOT NULL").distinct()
-    cells = _cells(anchored(unique, threshold))
+    carried = ["key", "class"] if "key" in fps.columns else []
+    unique = fps.select("fp", *carried).where("fp IS NOT NULL").distinct()
+    cells = _cells(anchored(unique, threshold, carried), carried)
     order = ["part", "anchor", "i", "j"]
-    laid = cells.repartition(*order).sortWithinPartitions(*order)
-    return laid.mapInArrow(lambda b: _matched(b, threshold), "a bigint, b bigint").distinct()
+    within = [F.xxhash64(F.lit(turn), "key")] if carried else []
+    laid = cells.repartition(*order).sortWithinPartitions(*order, *within)
+    return laid.mapInArrow(lambda b: _matched(b, threshold, carried, every), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> DataFrame:
@@ -332,6 +350,55 @@ def jaccard(a: str | None, b: str | None, shingle: int) -> float:
     return both / total if (total := len(sets[0]) + len(sets[1]) - both) else 1.0
 
 
+def _compared(pairs: DataFrame, bodies: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Adds to pairs of text keys whether the texts are `same`: alike enough."""
+
+    @F.pandas_udf(DoubleType())
+    def likeness(x, y):
+        return x.combine(y, lambda a, b: jaccard(a, b, shingle))
+
+    left = bodies.select(F.col("text_key").alias("a"), F.col("text").alias("text_a"))
+    right = bodies.select(F.col("text_key").alias("b"), F.col("text").alias("text_b"))
+    found = pairs.join(left, "a").join(right, "b")
+    return stored(found.select("a", "b", (likeness("text_a", "text_b") >= similarity).alias("same")), "compared")
+
+
+def _paired(nodes: DataFrame, threshold: int, every: bool = False, turn: int = 0) -> DataFrame:
+    """`links` with the larger key first, each once."""
+    found = links(nodes, threshold, every, turn)
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _alike(nodes: DataFrame, first: DataFrame, bodies: DataFrame, threshold: int, shingle: int, similarity: float) -> DataFrame:
+    """Links between texts that are alike; their components are those of all such links.
+
+    A forest of candidate links (`first`) hides others behind links that turn out to be
+    wrong. Rows around a wrong link are therefore linked anew, in other forests, with the
+    groups confirmed so far as classes, while a quarter of the new links hold; then all
+    candidate links that still lie between two groups are compared, so none is left out.
+    """
+    done = _compared(first, bodies, shingle, similarity)
+    wrong = done.where("NOT same").select(F.col("a").alias("node"))
+    groups = stored(components(first), "groups")
+    mixed = groups.join(wrong, "node", "left_semi").select("root").distinct()
+    doubtful = groups.join(mixed, "root", "left_semi").select(F.col("node").alias("key"))
+    doubtful = stored(nodes.select("fp", "key").join(doubtful, "key", "left_semi"), "doubtful")
+    if doubtful.isEmpty():
+        return done.where("same").select("a", "b")
+    near, every, turn = threshold // 2, False, 1
+    while True:
+        known = components(done.where("same").select("a", "b")).withColumnRenamed("node", "key")
+        classed = doubtful.join(known, "key", "left").select("fp", "key", F.coalesce("root", "key").alias("class"))
+        fresh = _paired(stored(classed, "classed"), near, every, turn).join(done, ["a", "b"], "left_anti")
+        fresh = _compared(fresh, bodies, shingle, similarity)
+        done = done.unionByName(fresh)
+        if every:
+            return done.where("same").select("a", "b")
+        tried, held = fresh.agg(F.count(F.lit(1)), F.count_if("same")).first()
+        every = near == threshold and 4 * held <= tried
+        near, turn = threshold, turn + 1
+
+
 def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """`docs` with one row of each group of near copies, that with the smallest doc_id.
 
@@ -344,13 +411,8 @@ def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similar
     rows = stored(fingerprints(docs, 1, distinct=True), "simhash")
     texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"))
     texts = stored(texts, "texts")
-    heads = texts.groupBy("fp").agg(F.min("text_key").alias("head"))
-    alike = texts.join(heads, "fp").where("text_key <> head").select(F.col("text_key").alias("a"), F.col("head").alias("b"))
-    far = links(texts, threshold)
-    ends = heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b"))
-    far = far.join(heads.withColumnRenamed("fp", "a"), "a").join(ends, "b")
-    far = far.select(F.greatest("head", "head_b").alias("a"), F.least("head", "head_b").alias("b"))
-    pairs = stored(alike.unionByName(far.distinct()), "pairs")
+    nodes = texts.select("fp", F.col("text_key").alias("key"), F.col("text_key").alias("class"))
+    pairs = stored(_paired(nodes, threshold), "pairs")
 
     wanted = pairs.select(F.col("a").alias("text_key")).union(pairs.select("b")).distinct()
     wanted = wanted.join(texts, "text_key").select("text_key", F.col("first").alias("doc_id"))
@@ -359,14 +421,7 @@ def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similar
     bodies = keyed.join(wanted, same, "left_semi").select("text_key", "text").dropDuplicates(["text_key"])
     bodies = stored(bodies, "bodies")
 
-    @F.pandas_udf(DoubleType())
-    def likeness(x, y):
-        return x.combine(y, lambda a, b: jaccard(a, b, shingle))
-
-    left = bodies.select(F.col("text_key").alias("a"), F.col("text").alias("text_a"))
-    right = bodies.select(F.col("text_key").alias("b"), F.col("text").alias("text_b"))
-    checked = pairs.join(left, "a").join(right, "b").where(likeness("text_a", "text_b") >= similarity)
-    found = components(checked.select("a", "b"))
+    found = components(_alike(nodes, pairs, bodies, threshold, shingle, similarity))
     rooted = texts.join(found.withColumnRenamed("node", "text_key"), "text_key", "left").select(
         "text_key", "first", F.coalesce("root", "text_key").alias("root")
     )
