@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tradevigil.operators import joins
 from tradevigil.operators.joins import (
     counted_grid,
     not_yet_in,
@@ -46,6 +47,16 @@ def test_grid_cells_hold_a_bounded_share(skewed):
     assert 200 * 100 / (height * width) <= 1000
 
 
+def test_every_hot_key_is_cut(skewed, same_rows, monkeypatch):
+    left, right = skewed
+    few = {tuple(r) for r in counted_grid(left, right, ["k"], 7).collect()}
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
+    grid = counted_grid(left, right, ["k"], 7)
+    assert {tuple(r) for r in grid.collect()} == few and len(few) > 2
+    same_rows(pair_join(left, right, ["k"], ["l"], ["r"], grid), left.join(right, "k"))
+    same_rows(pair_left_join(left, right, ["k"], ["l"], ["r"], grid), left.join(right, "k", "left"))
+
+
 def test_rows_per_key_skips_null_keys(skewed):
     assert rows_per_key(skewed[0], ["k"], "n").where("k IS NULL").count() == 0
 

@@ -17,8 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 PAIRS_PER_TASK = 8_000_000
-# Bounds of what is broadcast and of the copies made; keys beyond the first bound
-# (the least hot of the hot) are joined uncut, so results never depend on it.
+# Bounds of what is broadcast and of the copies made. A longer list of hot keys is not
+# broadcast but joined as it is, so every hot key is cut.
 MAX_HOT_KEYS = 10_000
 MAX_CUTS = 4_096
 
@@ -73,8 +73,9 @@ def hot_grid(
     """Keys with more pairs than one task should make, with grid height and width.
 
     Counts (or upper bounds of them) come as key columns plus `left_rows` /
-    `right_rows`. This runs: at most MAX_HOT_KEYS keys reach the driver and go back
-    out as a broadcast. None when no key is hot, which leaves a plain join to plan.
+    `right_rows`. This runs: at most MAX_HOT_KEYS keys (and one more, to tell) reach the
+    driver and go back out as a broadcast; if there are more, the list stays distributed.
+    None when no key is hot, which leaves a plain join to plan.
     """
     cells = F.col("left_rows").cast("double") * F.col("right_rows") / F.lit(pairs_per_task)
     balance = F.sqrt(F.col("cells") * F.col("left_rows") / F.col("right_rows"))
@@ -86,12 +87,12 @@ def hot_grid(
         .where(F.col("cells") > 1)
         .withColumn("height", height.cast("int"))
         .withColumn("width", width.cast("int"))
-        .orderBy(F.desc("cells"), *on)
-        .limit(MAX_HOT_KEYS)
         .select(*on, "height", "width")
     )
-    rows = hot.collect()
-    return hot.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    rows = hot.limit(MAX_HOT_KEYS + 1).collect()
+    if len(rows) > MAX_HOT_KEYS:
+        return hot
+    return F.broadcast(hot.sparkSession.createDataFrame(rows, hot.schema)) if rows else None
 
 
 def counted_grid(
@@ -116,14 +117,12 @@ def pair_join(
     on = list(on)
     if grid is None:
         return left.join(right, on)
-    hot = F.broadcast(grid)
-
     def cut(df: DataFrame, spread: Sequence[str], own: str, other: str, own_cut: str, other_cut: str) -> DataFrame:
         # Not rand(): a task that is run again must send each row to the same cell.
         home = F.coalesce(F.pmod(F.xxhash64(*spread), F.col(own)), F.lit(0)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
         return (
-            df.join(hot, on, "left")
+            df.join(grid, on, "left")
             .withColumn(own_cut, home)
             .withColumn(other_cut, copies)
             .drop("height", "width")
