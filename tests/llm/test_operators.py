@@ -243,6 +243,34 @@ def test_no_near_copy_hides_behind_a_wrong_link(spark):
     assert kept == {rows[r][0] for r in root}
 
 
+def edited_passages(rng, n):
+    """Texts and copies with one passage appended, cut or replaced, a little over the similarity."""
+    pairs = []
+    for i in range(n):
+        size = int(rng.integers(100, 400))
+        own = [f"u{i}_{x}" for x in rng.integers(0, 5000, size)]
+        new = [f"n{i}_{x}" for x in range(size)]
+        at = int(rng.integers(0, size // 2))
+        kind = i % 3
+        if kind == 0:
+            copy = own + new[: int(size * 0.2)]
+        elif kind == 1:
+            copy = own[:at] + own[at + int(size * 0.16) :]
+        else:
+            copy = own[:at] + new[: int(size * 0.07)] + own[at + int(size * 0.07) :]
+        pairs.append((" ".join(own), " ".join(copy)))
+    return [p for p in pairs if simhash.jaccard(*p, 5) >= 0.8]
+
+
+def test_copies_with_an_edited_passage_go(spark):
+    pairs = edited_passages(np.random.default_rng(11), 300)
+    far = sum((simhash.simhash(a, 1, True) ^ simhash.simhash(b, 1, True)).bit_count() > 8 for a, b in pairs)
+    assert len(pairs) > 200 and far > len(pairs) / 5
+    rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    kept = {r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()}
+    assert kept == set(range(0, 2 * len(pairs), 2))
+
+
 def test_order_is_seen(spark):
     a = [f"a{i}" for i in range(300)]
     rows = spark.createDataFrame([(" ".join(a), " ".join(a[150:] + a[:150])), ("x " * 50, "x " * 40)], "a string, b string")

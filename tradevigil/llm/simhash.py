@@ -30,6 +30,9 @@ from tradevigil.llm.store import stored
 #: A cell of an anchor's pairs has about so many homes and members at most.
 CELL_HOMES, CELL_MEMBERS = 4096, 32768
 _CHUNK = 1 << 16  # shingles hashed at a time
+#: Min-hashes of a text's shingles: so many bands of so many. Texts that share a part J of
+#: their shingles have no band alike with odds (1 - J**BAND_ROWS) ** BANDS, wherever they differ.
+BANDS, BAND_ROWS = 24, 5
 #: Helper columns beside those of a caller's table.
 KEEP = ["_group_first_id", "_group_text_key"]
 
@@ -63,8 +66,37 @@ def simhash(text: str | None, shingle: int, distinct: bool = False) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, distinct: bool = False) -> DataFrame:
-    """`doc_id`, `text_key` (hash of the text, NULL as empty) and `fp` of each row."""
+def shingles(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the runs of `shingle` words; a text of fewer words is one run."""
+    data = words.fold(text, words.SPACED)
+    hashes = words.word_hashes(data, *words.spans(data))
+    k = min(shingle, len(hashes))
+    return words.gram_hashes(hashes, k) if k else np.zeros(0, dtype=np.uint64)
+
+
+_SEEDS = words.mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTORS = words.mix(_SEEDS) | np.uint64(1)
+
+
+def bands(text: str | None, shingle: int) -> np.ndarray:
+    """A 64-bit value of each band of the text's min-hashes; none for a text without words."""
+    grams = shingles(text, shingle)
+    if not len(grams):
+        return np.zeros(0, dtype=np.int64)
+    least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(grams), 256):
+        h = grams[at : at + 256, None] ^ _SEEDS
+        h *= _FACTORS
+        np.minimum(least, h.min(axis=0), out=least)
+    values = np.zeros(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        values = words.mix(values ^ column)
+    return values.view(np.int64)
+
+
+def fingerprints(docs: DataFrame, shingle: int, distinct: bool = False, banded: int = 0) -> DataFrame:
+    """`doc_id`, `text_key` (hash of the text, NULL as empty) and `fp` of each row; with
+    `banded`, also the `bands` of shingles of so many words."""
     rows = docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text"
     )
@@ -74,12 +106,14 @@ def fingerprints(docs: DataFrame, shingle: int, distinct: bool = False) -> DataF
             texts = batch.column(2)
             found = [simhash(t.as_py(), shingle, distinct) for t in texts]
             values = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), values], ["doc_id", "text_key", "fp"]
-            )
+            arrays, names = [batch.column(0), batch.column(1), values], ["doc_id", "text_key", "fp"]
+            if banded:
+                arrays.append(pa.array([bands(t.as_py(), banded) for t in texts], pa.list_(pa.int64())))
+                names.append("bands")
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, fp bigint")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, fp bigint" + ", bands array<bigint>" * bool(banded))
 
 
 # ---- anchors -----------------------------------------------------------------
@@ -184,11 +218,19 @@ def anchored(fps: DataFrame, threshold: int, carried: list[str]) -> DataFrame:
     return fps.select("fp", *carried).mapInArrow(run, ", ".join(columns))
 
 
-def _cells(rows: DataFrame, carried: list[str]) -> DataFrame:
+def _banded(nodes: DataFrame, carried: list[str]) -> DataFrame:
+    """Columns of `anchored`: each value of each band is an anchor, and the home of all that have it."""
+    each = nodes.select(F.posexplode("bands").alias("band", "fp"), *carried)
+    part, anchor = (F.col("band") + 3).cast("tinyint"), F.shiftright("fp", 32).cast("int")
+    return each.select(part.alias("part"), anchor.alias("anchor"), F.lit(True).alias("home"), "fp", *carried)
+
+
+def _cells(rows: DataFrame, carried: list[str], few: bool = True) -> DataFrame:
     """Adds the cell (`i`, `j`): a large anchor's homes x members are cut into a grid.
 
-    The sizes of all anchors are counted; there are at most 2**18 + 2 * 2**12 of them, so
-    the list of the large ones has a bound and can be broadcast.
+    The sizes of all anchors are counted. Of a code's anchors there are `few`, at most
+    2**18 + 2 * 2**12, so the list of the large ones has a bound and can be broadcast; that
+    of bands has none and is joined as it is.
     """
     large = (
         rows.groupBy("part", "anchor")
@@ -201,7 +243,7 @@ def _cells(rows: DataFrame, carried: list[str]) -> DataFrame:
             F.ceil(F.col("members") / CELL_MEMBERS).cast("int").alias("n_j"),
         )
     )
-    sized = rows.join(F.broadcast(large), ["part", "anchor"], "left").withColumns(
+    sized = rows.join(F.broadcast(large) if few else large, ["part", "anchor"], "left").withColumns(
         {"n_i": F.greatest(F.lit(1), F.coalesce("n_i", F.lit(1))), "n_j": F.greatest(F.lit(1), F.coalesce("n_j", F.lit(1)))}
     )
     mine = F.xxhash64(F.lit("cell"), "fp", *carried)
@@ -304,10 +346,13 @@ def links(fps: DataFrame, threshold: int, every: bool = False, turn: int = 0) ->
     forest, so that `components` of the result are those of all links. Rows are named by
     their `fp`, or, if there are columns `key` and `class`, by `key`; rows of one class are
     not linked. `turn` changes which of the forests is found, `every` asks for all links.
+    Rows with a column `bands` link if they have a band alike, too.
     """
     carried = ["key", "class"] if "key" in fps.columns else []
     unique = fps.select("fp", *carried).where("fp IS NOT NULL").distinct()
     cells = _cells(anchored(unique, threshold, carried), carried)
+    if "bands" in fps.columns:
+        cells = cells.unionByName(_cells(_banded(fps, carried), carried, few=False))
     order = ["part", "anchor", "i", "j"]
     within = [F.xxhash64(F.lit(turn), "key")] if carried else []
     laid = cells.repartition(*order).sortWithinPartitions(*order, *within)
@@ -340,12 +385,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> Da
 
 def jaccard(a: str | None, b: str | None, shingle: int) -> float:
     """Share of the two texts' distinct shingles that both have; 1 if neither has any."""
-    sets = []
-    for text in (a, b):
-        data = words.fold(text, words.SPACED)
-        hashes = words.word_hashes(data, *words.spans(data))
-        k = min(shingle, len(hashes))
-        sets.append(np.unique(words.gram_hashes(hashes, k)) if k else np.zeros(0, dtype=np.uint64))
+    sets = [np.unique(shingles(text, shingle)) for text in (a, b)]
     both = len(np.intersect1d(*sets, assume_unique=True))
     return both / total if (total := len(sets[0]) + len(sets[1]) - both) else 1.0
 
@@ -382,13 +422,13 @@ def _alike(nodes: DataFrame, first: DataFrame, bodies: DataFrame, threshold: int
     groups = stored(components(first), "groups")
     mixed = groups.join(wrong, "node", "left_semi").select("root").distinct()
     doubtful = groups.join(mixed, "root", "left_semi").select(F.col("node").alias("key"))
-    doubtful = stored(nodes.select("fp", "key").join(doubtful, "key", "left_semi"), "doubtful")
+    doubtful = stored(nodes.select("fp", "key", "bands").join(doubtful, "key", "left_semi"), "doubtful")
     if doubtful.isEmpty():
         return done.where("same").select("a", "b")
     near, every, turn = threshold // 2, False, 1
     while True:
         known = components(done.where("same").select("a", "b")).withColumnRenamed("node", "key")
-        classed = doubtful.join(known, "key", "left").select("fp", "key", F.coalesce("root", "key").alias("class"))
+        classed = doubtful.join(known, "key", "left").select("fp", "key", "bands", F.coalesce("root", "key").alias("class"))
         fresh = _paired(stored(classed, "classed"), near, every, turn).join(done, ["a", "b"], "left_anti")
         fresh = _compared(fresh, bodies, shingle, similarity)
         done = done.unionByName(fresh)
@@ -403,15 +443,16 @@ def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similar
     """`docs` with one row of each group of near copies, that with the smallest doc_id.
 
     Candidates come from fingerprints over the set of single words, which copies with
-    edited words change little, at `threshold` bits; a candidate link counts if the two
+    edited words change little, at `threshold` bits, and from bands of min-hashes of the
+    shingles, which find alike texts wherever they differ; a candidate link counts if the two
     texts share at least `similarity` of their distinct `shingle`-word shingles. Groups
     are the components of these links. Equal texts are one group, and so are all texts
     without words, NULL among them; of repeated rows one stays. Other columns are carried along.
     """
-    rows = stored(fingerprints(docs, 1, distinct=True), "simhash")
-    texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"))
+    rows = stored(fingerprints(docs, 1, distinct=True, banded=shingle), "simhash")
+    texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     texts = stored(texts, "texts")
-    nodes = texts.select("fp", F.col("text_key").alias("key"), F.col("text_key").alias("class"))
+    nodes = texts.select("fp", "bands", F.col("text_key").alias("key"), F.col("text_key").alias("class"))
     pairs = stored(_paired(nodes, threshold), "pairs")
 
     wanted = pairs.select(F.col("a").alias("text_key")).union(pairs.select("b")).distinct()
