@@ -295,6 +295,17 @@ def test_main_text(page):
     assert maintext.main_text(page) == PAGES[page]
 
 
+def test_a_very_long_block_hides_no_paragraph():
+    """Before it and after a dive; and where no line is long, the first ones stay, too."""
+    some = [f"Paragraph {i}: " + "it goes on about things and more things. " * 7 for i in range(6)]
+    links = "".join(f"<p><a href=/{i}>Another page of ours, number {i}</a></p>" for i in range(3))
+    for between in ("", links):
+        for parts in ([*some, between, "long " * 4000], ["long " * 4000, between, *some], [*some, between, "long " * 4000, between, *some]):
+            page = "<h1>The title of it</h1>" + "".join(x if x == between else f"<p>{x}</p>" for x in parts)
+            assert maintext.main_text(page) == " ".join(["The title of it", *(x.strip() for x in parts if x != between)])
+    assert maintext.main_text("<p>a<p>b<p>c<p>dddd<p>e") == "a b c dddd e"
+
+
 def test_main_text_of_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", "<p>" * 50_000), (2, "u", "<!--")], "page_id bigint, url string, html string")
     assert [r["text"] for r in maintext.report(pages).collect()] == [""] * 4

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: A surge needs so many characters, and so large a part of the largest sum. Inside an
-#: element that is named as the article, any text surges.
-LEAST_CHARS, LEAST_SHARE = 40, 0.2
+#: A surge needs so many characters, however long other lines are. Inside an element that
+#: is named as the article, any text surges.
+LEAST_CHARS = 40
 LINKED = 0.6  # share of a line's characters in links above which it is a menu
 
 # Elements and name parts, fixed values of public mark-up practice.
@@ -130,12 +130,12 @@ def main_text(html: str | None) -> str:
     rows = [i for i, (text, _, main) in enumerate(found) if text]
     lengths = [sizes[i] for i in rows]
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
-    most = max(sums, default=0)
-    threshold = 1 if named else min(max(LEAST_CHARS, LEAST_SHARE * most), most)
+    # where nothing surges there is no distribution to go by, and all lines are as good
+    threshold = 1 if named or max(sums, default=0) < LEAST_CHARS else LEAST_CHARS
     kept, inside = [], False
     for i, row in enumerate(rows):
         if not inside:
-            inside = lengths[i] > 0 and sums[i] >= max(1, threshold)
+            inside = lengths[i] > 0 and sums[i] >= threshold
         elif not sums[i]:
             inside = False
         if inside and lengths[i]:
