@@ -1,7 +1,11 @@
 """Operators on hand-made rows: NULLs, empty and long texts, ties, repeats, no rows, extra columns."""
 
+import re
+
+import duckdb
 import numpy as np
 import pytest
+from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -295,6 +299,11 @@ def test_main_text(page):
     assert maintext.main_text(page) == PAGES[page]
 
 
+@pytest.fixture(scope="module")
+def sample_pages():
+    return [html for (html,) in duckdb.sql(f"SELECT html FROM '{SF_DIR}/pages.parquet'").fetchall()]
+
+
 def test_a_very_long_block_hides_no_paragraph():
     """Before it and after a dive; and where no line is long, the first ones stay, too."""
     some = [f"Paragraph {i}: " + "it goes on about things and more things. " * 7 for i in range(6)]
@@ -306,6 +315,24 @@ def test_a_very_long_block_hides_no_paragraph():
     assert maintext.main_text("<p>a<p>b<p>c<p>dddd<p>e") == "a b c dddd e"
 
 
+def test_an_article_tag_hides_no_text_outside():
+    body = [f"Paragraph {i}: " + "it goes on about things and more things. " * 7 for i in range(6)]
+    whole = " ".join(x.strip() for x in body)
+    divs = "".join(f"<div>{x}</div>" for x in body)
+    for teaser in ("<article><h3>Read this, too</h3></article>", "<article><img src=x><p>A caption</p></article>"):
+        for page in (teaser + f"<div>{divs}</div>", f"<div>{divs}</div>" + teaser, f"<div>{divs[:900]}</div>{teaser}<div>{divs[900:]}</div>"):
+            text = maintext.main_text(page)
+            assert all(x.strip() in text for x in body[:2] + body[3:]) and len(text) >= len(whole)
+
+
+def test_sample_pages_without_their_tags(sample_pages):
+    """Nearly all articles are found by their lines alone; the rest lose a short first line."""
+    bare = [maintext.main_text(re.sub("<(/?)(?:article|main)>", r"<\1div>", page)) for page in sample_pages]
+    named = [maintext.main_text(page) for page in sample_pages]
+    assert np.mean([a == b for a, b in zip(bare, named, strict=True)]) > 0.98
+    assert all(b.endswith(a) and a for a, b in zip(bare, named, strict=True))
+
+
 def test_main_text_of_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", "<p>" * 50_000), (2, "u", "<!--")], "page_id bigint, url string, html string")
     assert [r["text"] for r in maintext.report(pages).collect()] == [""] * 4

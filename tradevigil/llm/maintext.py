@@ -2,8 +2,9 @@
 
 Markup is stripped to lines, one per block of the page. Blocks of menus, headers, footers,
 adverts and the like become empty lines, and so do lines that are mostly links. The text
-lengths of every `WINDOW` lines are summed; text begins where that sum surges over the
-threshold and goes on, and ends where it dives to nothing. All lines in between are kept.
+lengths of every `WINDOW` lines are summed; text begins where that sum surges over a fixed
+number of characters and goes on, and ends where it dives to nothing. All lines in between
+are kept. An element named as the article only adds weight to its lines.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: A surge needs so many characters, however long other lines are. Inside an element that
-#: is named as the article, any text surges.
-LEAST_CHARS = 40
-LINKED = 0.6  # share of a line's characters in links above which it is a menu
+#: A surge needs so many characters, however long other lines are. Each character inside an
+#: element that is named as the article counts so many times.
+LEAST_CHARS, NAMED_WEIGHT = 40, 40
+LINKED = 0.6  # share of a line's characters in links above which it is a menu, outside such elements
 
 # Elements and name parts, fixed values of public mark-up practice.
 RAW = "script style noscript template textarea iframe svg math object title select".split()
@@ -120,26 +121,22 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
 
 def main_text(html: str | None) -> str:
     """The text between surge and dive points; empty if there is none."""
-    found = lines(html or "")
-    named = any(main and text for text, _, main in found)
-    sizes = []
-    for text, linked, main in found:
-        off = not main if named else linked > LINKED * len(text)
-        sizes.append(0 if off else len(text))
-    # white space between blocks leaves lines without text: they are no gap, boilerplate is
-    rows = [i for i, (text, _, main) in enumerate(found) if text]
-    lengths = [sizes[i] for i in rows]
+    # white space between blocks leaves lines without text: they are no gap, menus of links are
+    found = [line for line in lines(html or "") if line[0]]
+    lengths = [
+        len(text) * NAMED_WEIGHT if main else 0 if linked > LINKED * len(text) else len(text) for text, linked, main in found
+    ]
     sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
     # where nothing surges there is no distribution to go by, and all lines are as good
-    threshold = 1 if named or max(sums, default=0) < LEAST_CHARS else LEAST_CHARS
+    threshold = LEAST_CHARS if max(sums, default=0) >= LEAST_CHARS else 1
     kept, inside = [], False
-    for i, row in enumerate(rows):
+    for i, (text, _, _) in enumerate(found):
         if not inside:
             inside = lengths[i] > 0 and sums[i] >= threshold
         elif not sums[i]:
             inside = False
         if inside and lengths[i]:
-            kept.append(found[row][0])
+            kept.append(text)
     return " ".join(kept)
 
 
