@@ -178,6 +178,15 @@ def test_licence_with_gaps():
     assert not places and not found and best[0] == "mit" and best[1] == 3 and best[3] > 0.9
 
 
+def test_every_copy_of_a_notice_is_a_span():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.PHRASES)
+    label, notice = licences.TEMPLATES[1]
+    n = len(words.split(notice, words.ALNUM))
+    spans = [s for s in scanner.scan("x y z ".join([notice + " "] * 3))[3] if s[0] == label]
+    assert [s[1:] for s in spans] == [(i * (n + 3), i * (n + 3) + n, 1.0) for i in range(3)]
+    assert len([s for s in scanner.scan(notice)[3] if s[0] == label]) == 1
+
+
 @pytest.mark.parametrize("code, count", [("golay", 1 << 12), ("hamming", 1 << 11)])
 def test_codes_cover(code, count):
     seg = simhash.segment(0, code, 0)

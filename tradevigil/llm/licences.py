@@ -157,7 +157,7 @@ class Scanner:
 
     def scan(self, text: str | None) -> tuple[int, list[int], set[str], list[tuple[str, int, int, float]]]:
         """Number of words; starts and labels of phrases; label, first and past-the-last word
-        and covered share of each template's best chain."""
+        and covered share of each template's chains: the best, and all others that reach `COVERED`."""
         parts = words.split(text, words.ALNUM)
         codes = np.fromiter((self.codes.get(w, -1) for w in parts), dtype=np.int64, count=len(parts))
         starts, labels = [], set()
@@ -173,31 +173,57 @@ class Scanner:
         for start, n, state in self.automaton.runs(codes[places].tolist(), places.tolist(), LEAST_RUN):
             for template, end in self.automaton.ends[state]:
                 placed.setdefault(template, []).append((start, n, end - n))
-        spans = [(self.labels[t], *_chain(hits, self.sizes[t])) for t, hits in sorted(placed.items())]
+        spans = [(self.labels[t], *chain) for t, hits in sorted(placed.items()) for chain in _chains(hits, self.sizes[t])]
         return len(parts), starts, labels, spans
 
 
-def _chain(hits: list[tuple[int, int, int]], size: int) -> tuple[int, int, float]:
-    """First and past-the-last document word, and covered share, of the best chain.
+def _chains(hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
+    """First and past-the-last document word, and covered share, of the best chain and of all
+    others that reach `COVERED`, in order of the document.
 
     `hits`: start in the document, length, start in the template. A chain goes on in both,
-    over gaps of at most `MOST_GAP` document words; of equal chains the first wins.
+    over gaps of at most `MOST_GAP` document words; of equal chains the first wins. Chains
+    share no word: further ones are built of the hits outside those found.
     """
     hits = sorted(hits)
-    best: list[tuple[int, int]] = []  # words covered, start of the chain
-    top, low = 0, 0
+    found: list[tuple[int, int, float]] = []
+    while hits:
+        best = _linked(hits, size)
+        origin = hits[0][0]
+        taken = bytearray(max(s + n for s, n, _ in hits) - origin)
+        before = len(found)
+        for top in sorted(range(len(hits)), key=lambda i: (-best[i][0], i)):
+            if found and best[top][0] < COVERED * size:
+                break
+            chain, i = [], top
+            while i >= 0:
+                chain.append(hits[i])
+                i = best[i][1]
+            if any(any(taken[s - origin : s - origin + n]) for s, n, _ in chain):
+                continue
+            for s, n, _ in chain:
+                taken[s - origin : s - origin + n] = b"\1" * n
+            found.append((chain[-1][0], chain[0][0] + chain[0][1], best[top][0] / size))
+        if len(found) == before:
+            break
+        hits = [h for h in hits if not any(taken[h[0] - origin : h[0] - origin + h[1]])]
+    return sorted(found)
+
+
+def _linked(hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int]]:
+    """Words covered by the best chain that ends with each hit, and the hit before it or -1."""
+    best: list[tuple[int, int]] = []
+    low = 0
     for i, (start, n, at) in enumerate(hits):
         while hits[low][0] + size + MOST_GAP < start:
             low += 1
-        covered, first = n, start
+        covered, last = n, -1
         for j in range(low, i):
             s, m, a = hits[j]
             if s + m <= start <= s + m + MOST_GAP and a + m <= at and best[j][0] + n > covered:
-                covered, first = best[j][0] + n, best[j][1]
-        best.append((covered, first))
-        if covered > best[top][0]:
-            top = i
-    return best[top][1], hits[top][0] + hits[top][1], best[top][0] / size
+                covered, last = best[j][0] + n, j
+        best.append((covered, last))
+    return best
 
 
 _SPANS = "array<struct<label:string,first_word:int,end_word:int,covered:double>>"
