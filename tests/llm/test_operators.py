@@ -366,6 +366,16 @@ def test_offending_sentence_is_found(spark):
     assert model.score("")[0] == 0.5 and toxicity.train(sample.limit(0), 0.0).score("a b")[0] < 0.01
 
 
+def test_every_offending_sentence_is_located(spark):
+    model = toxicity.Model({"<grobian>": 8.0}, -4.0, 0.1)
+    text = "All is well. You grobian. Fine days. A grobian again! Quiet"
+    docs = spark.createDataFrame([(1, text), (2, "All is well. Fine days."), (3, None)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in toxicity.scored(docs, model).collect()}
+    assert [o["start"] for o in got[1]["offending"]] == [text.index(" You"), text.index(" A grobian")]
+    assert all(o["score"] > 0.9 for o in got[1]["offending"]) and got[1]["worst_at"] == text.index(" You")
+    assert got[2]["offending"] == [] and got[3]["offending"] == []
+
+
 def test_unseen_words_fall_back():
     rows = [("de", "schule schulen haus"), ("en", "school schools house")]
     import pandas as pd

@@ -29,6 +29,8 @@ GRAMS, FEATURES_KEPT, LEAST_DOCS = (4, 5, 6), 3000, 6
 COUNTED_AT_ONCE = 300_000
 #: Gradient steps, their size, the pull of weights towards 0, and where the bias starts.
 STEPS, RATE, PULL, BIAS = 200, 0.2, 2e-4, -4.0
+#: Sentences of this score or more are offending ones, as documents are predicted toxic at 0.5.
+OFFENDING = 0.5
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -65,12 +67,17 @@ class Model:
 
     def score(self, text: str | None) -> tuple[float, int | None, float | None]:
         """The document's score, and the place and score of its worst sentence."""
+        return self.located(text)[:3]
+
+    def located(self, text: str | None) -> tuple[float, int | None, float | None, list[tuple[int, float]]]:
+        """`score`, and the place and score of every offending sentence, in order of the text."""
         at, scores = self.sentence_scores(text)
         if not at:
-            return self.base, None, None
+            return self.base, None, None, []
         worst = int(np.argmax(scores))
         total = -np.expm1(np.log1p(-np.minimum(scores, 1 - 1e-12)).sum())
-        return float(total), at[worst], float(scores[worst])
+        offending = [(at[i], float(scores[i])) for i in np.flatnonzero(scores >= OFFENDING)]
+        return float(total), at[worst], float(scores[worst]), offending
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list[str]]]]:
@@ -221,18 +228,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row: `doc_id`, `score`, and the first character and score of the worst sentence."""
+    """Per row: `doc_id`, `score`, the first character and score of the worst sentence, and, as
+    `offending`, those of every sentence that scores `OFFENDING` or more (none: an empty array)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            found = [own.score(text.as_py()) for text in batch.column(1)]
+            found = [own.located(text.as_py()) for text in batch.column(1)]
             arrays = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.float64(), pa.int64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "score", "worst_at", "worst_score"])
+            places = [[{"start": at, "score": score} for at, score in f[3]] for f in found]
+            arrays.append(pa.array(places, pa.list_(pa.struct([("start", pa.int64()), ("score", pa.float64())]))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "score", "worst_at", "worst_score", "offending"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, worst_at bigint, worst_score double")
+    offending = "offending array<struct<start:bigint,score:double>>"
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, worst_at bigint, worst_score double, {offending}")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
