@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradevigil.llm import langid, licences, maintext, mixing, ordermin, simhash, tokenfile, toxicity, warc, winnow
+from tradevigil.llm import centroids, divergence, langid, licences, maintext, mixing, ordermin, simhash, tokenfile, toxicity, warc, winnow
 from tradevigil.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,8 +74,20 @@ def op10_source_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL = {
     "op2_warc_reassembly": warc.REPORT_SQL,
     "op3_decontamination": winnow.REPORT_SQL,
     "op10_source_mixing": mixing.REPORT_SQL,
+    "op11_centroid_clustering": centroids.REPORT_SQL,
+    "op13_source_divergence": divergence.REPORT_SQL,
 }
