@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradevigil.llm import centroids, divergence, langid, licences, maintext, mixing, ordermin, simhash, tokenfile, toxicity, warc, winnow
+from tradevigil.llm import centroids, divergence, langid, licences, maintext, mixing, ordermin, personal, simhash, tokenfile, toxicity, warc, winnow
 from tradevigil.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ def op11_centroid_clustering(spark, sf_dir):
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
 
+@_query
+def op12_personal_data(spark, sf_dir):
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_source_divergence(spark, sf_dir):
     return divergence.report(table(spark, sf_dir, "documents"))
