@@ -12,7 +12,7 @@ def plan(df):
 
 
 MODEL_AND_INGEST = {
-    "rf_scores", "rf_scores_csv", "rf_run_record", "ingest_incremental", "ingest_stream", "ingest_stream_features", "clear_tables",
+    "rf_scores", "rf_scores_csv", "rf_run_record", "ingest_feeds", "ingest_incremental", "ingest_stream", "ingest_stream_features", "clear_tables",
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tradevigil.functions import columns as fx
+from tradevigil.operators.dimensions import as_of
 from tradevigil.operators.joins import PAIRS_PER_TASK, counted_grid, hot_grid, not_yet_in, pair_join, rows_per_key
 from tradevigil.schemas import EVENT_HORIZON_DAYS, MONEY, NO_EVENT_DAYS, RATE, UNITS
 
@@ -32,12 +33,17 @@ _DAYS = ("trade_date", "booking_date", "maturity_date")
 
 
 def feature_trade_base(
-    trades: DataFrame, clients: DataFrame, instruments: DataFrame, existing: DataFrame | None = None
+    trades: DataFrame,
+    clients: DataFrame,
+    instruments: DataFrame,
+    existing: DataFrame | None = None,
+    client_sent: str | None = None,
 ) -> DataFrame:
     """Trades with fixed-point amounts, client and instrument attributes and the label.
 
     With `existing`, only trades it does not hold: they are dropped before the
-    lookups, so a small increment joins little.
+    lookups, so a small increment joins little. `client_sent` names the column of `clients`
+    that says when a row was sent: trades then take their client as known on the trade's day.
     """
     if existing is not None:
         trades = not_yet_in(trades, existing, ["trade_id"])
@@ -53,11 +59,11 @@ def feature_trade_base(
                 shaped.append(F.col(name).alias("notional1"))
         else:
             shaped.append(F.col(name))
-    who = clients.select("client_id", "country", "risk_rating")
+    who = clients.select("client_id", "country", "risk_rating", *([client_sent] if client_sent else []))
     what = instruments.select("underlying", "isin", "instrument_id", "sector")
-    joined = (
-        trades.select(*shaped).join(who, ["client_id"], "left").join(what, ["underlying", "isin"], "left")
-    )
+    dealt = trades.select(*shaped)
+    known = as_of(dealt, who, ["client_id"], "trade_date", client_sent) if client_sent else dealt.join(who, ["client_id"], "left")
+    joined = known.join(what, ["underlying", "isin"], "left")
     return joined.select(
         *_base_order(trades.columns),
         "country",

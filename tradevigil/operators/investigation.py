@@ -24,6 +24,44 @@ ALERT_PROBABILITY = 0.80
 # ---- client-relative trade measures -----------------------------------------
 
 
+def _straight_from_files(rows: DataFrame) -> bool:
+    """Whether the rows are those of a file table, renamed, filtered or with more columns, each once."""
+    node = rows._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation" and bool(rows.inputFiles())
+
+
+def with_place(rows: DataFrame) -> DataFrame:
+    """The rows with `row_place`, which tells equal rows apart: their file, and the place in it.
+
+    Rows that do not come straight from files (joined, grouped, limited, made up) stay as they are.
+    """
+    if not _straight_from_files(rows):
+        return rows
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.select("*", place.alias("row_place"))
+
+
+def _places(rows: DataFrame) -> list[str]:
+    return [c for c in ("row_place",) if c in rows.columns]
+
+
+def first_trades_of(rows: DataFrame) -> DataFrame:
+    """A client's first rows by day, id and place (`EARLIER_ROWS` at most), with their `position`.
+
+    The limit is applied in the map tasks as well, so few rows of a client are shuffled.
+    """
+    in_order = Window.partitionBy("client_id").orderBy("trade_date", "trade_id", *_places(rows))
+    return rows.withColumn("position", F.row_number().over(in_order)).where(F.col("position") <= EARLIER_ROWS)
+
+
+def listed_per_client(firsts: DataFrame) -> DataFrame:
+    """`first_trades` per client: the rows of `first_trades_of` in order."""
+    entry = F.struct("position", "trade_date", "trade_id", *_places(firsts))
+    return firsts.groupBy("client_id").agg(F.sort_array(F.collect_list(entry)).alias("first_trades"))
+
+
 def client_trade_stats(store: DataFrame) -> DataFrame:
     """One row per (client, underlying): trades there, client average, client's first trades.
 
@@ -41,24 +79,22 @@ def client_trade_stats(store: DataFrame) -> DataFrame:
     averages = pairs.groupBy("client_id").agg(
         fx.ratio(F.sum("pair_sum"), F.sum("pair_amounts")).alias("client_average")
     )
-    in_order = Window.partitionBy("client_id").orderBy("trade_date", "trade_id")
-    firsts = (
-        store.select("client_id", "trade_date", "trade_id")
-        .withColumn("position", F.row_number().over(in_order))
-        .where(F.col("position") <= EARLIER_ROWS)
-        .groupBy("client_id")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "trade_date", "trade_id"))).alias("first_trades"))
-    )
-    client = _on_client(averages, firsts)
+    firsts = first_trades_of(store.select("client_id", "trade_date", "trade_id", *_places(store)))
+    client = _on_client(averages, listed_per_client(firsts))
     return _on_client(pairs.select("client_id", "underlying", "pair_trades"), client)
 
 
 def _running_count(trades: DataFrame) -> DataFrame:
     """`rolling_frequency` from the client's `first_trades`: the row's place by day and id, up to 8.
 
-    Rows of one client, day and id (repeated or without an id) come one after the other, in
-    order of a hash of the row. Only rows at a place among the first need that order.
+    Rows of one client, day and id (repeated or without an id) come one after the other: by
+    their place in the files, or else in order of a hash of the row, which only rows at a
+    place among the first need.
     """
+    if _places(trades):
+        own = F.get(F.filter("first_trades", lambda first: first["row_place"] == F.col("row_place")), F.lit(0))
+        place = F.coalesce(own["position"], F.lit(EARLIER_ROWS + 1))
+        return trades.withColumn("rolling_frequency", place.cast("long"))
 
     def same(first):
         return first["trade_date"].eqNullSafe(F.col("trade_date")) & first["trade_id"].eqNullSafe(F.col("trade_id"))
@@ -88,13 +124,18 @@ def iq_trades(store: DataFrame, existing: DataFrame | None = None, scope: str =
     """
     if scope not in ("history", "batch"):
         raise ValueError(f"scope must be 'history' or 'batch', not {scope!r}")
+    store = with_place(store)
     fresh = store if existing is None else not_yet_in(store, existing, ["trade_id"])
     measured = fresh if scope == "batch" else store
     if scope == "history" and existing is not None:
         # only clients with new trades need their history measured
         touched = fresh.select(F.col("client_id").alias("touched_client")).distinct()
         measured = store.join(touched, F.col("client_id").eqNullSafe(F.col("touched_client")), "left_semi")
-    stats = client_trade_stats(measured)
+    return measured_trades(fresh, client_trade_stats(measured))
+
+
+def measured_trades(fresh: DataFrame, stats: DataFrame) -> DataFrame:
+    """The investigated-trades columns of `fresh` by the statistics of their clients."""
     stats = stats.withColumnRenamed("client_id", "stat_client").withColumnRenamed("underlying", "stat_underlying")
     same_pair = F.col("client_id").eqNullSafe(F.col("stat_client")) & F.col("underlying").eqNullSafe(
         F.col("stat_underlying")
@@ -153,6 +194,26 @@ def iq_events(
     return pairs if existing is None else not_yet_in(pairs, existing, ["trade_id", "event_id"])
 
 
+def iq_events_delta(
+    new_events: DataFrame,
+    old_events: DataFrame,
+    new_base: DataFrame,
+    old_base: DataFrame,
+    proximity: DataFrame,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """What `iq_events` over all rows holds beyond `iq_events` over the old ones; neither is made.
+
+    New trades meet all events, old trades the new events alone. New events that nobody
+    trades get their row without a trade.
+    """
+    seen = old_events.join(new_base.select("underlying").distinct(), "underlying", "left_semi")
+    near = proximity.join(new_base.select("trade_id"), "trade_id", "left_semi")
+    with_new_trades = iq_events(seen, new_base, near, pairs_per_task=pairs_per_task)
+    with_new_events = iq_events(new_events, old_base.unionByName(new_base), proximity, pairs_per_task=pairs_per_task)
+    return with_new_trades.unionByName(with_new_events)
+
+
 def client_network(
     relationships: DataFrame, trades: DataFrame, events: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame:
@@ -246,6 +307,59 @@ def iq_clients(
     return not_yet_in(rows, existing, ["client_id", "connected_client", "relationship", "trade_id"])
 
 
+def iq_clients_delta(
+    new_clients: DataFrame,
+    old_clients: DataFrame,
+    new_links: DataFrame,
+    old_links: DataFrame,
+    new_trades: DataFrame,
+    old_trades: DataFrame,
+    old_traders: DataFrame | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """What `iq_clients` over all rows holds beyond `iq_clients` over the old ones; neither is made.
+
+    Known clients: their new trades meet all their live links, and links that have come
+    alive (new, or their far end's first trade) meet their old trades. New clients meet
+    everything of theirs. `old_traders` (`client_id`) may name the clients of the old trades, where a
+    smaller table than the trades holds them.
+    """
+    key = ["client_id", "connected_client", "relationship"]
+
+    def ids(df: DataFrame) -> DataFrame:
+        return df.select("client_id").distinct()
+
+    def shaped(links: DataFrame) -> DataFrame:
+        return links.select(F.col("from_client").alias("client_id"), F.col("to_client").alias("connected_client"), "relationship").distinct()
+
+    known = ids(old_clients)
+    added = not_yet_in(ids(new_clients), known, ["client_id"])
+    traded_before = ids(old_traders if old_traders is not None else old_trades)
+    trading_now = traded_before.unionByName(ids(new_trades)).distinct()
+    far_before = traded_before.withColumnRenamed("client_id", "connected_client")
+    far_now = trading_now.withColumnRenamed("client_id", "connected_client")
+    links_before = shaped(old_links)
+    links = links_before.unionByName(shaped(new_links)).distinct()
+    live = links.join(far_now, "connected_client", "left_semi")
+    awake = not_yet_in(live, links_before.join(far_before, "connected_client", "left_semi"), key)
+
+    def own(trades: DataFrame, of: DataFrame) -> DataFrame:
+        return trades.select("client_id", "trade_id").join(of.select("client_id").distinct(), "client_id", "left_semi").distinct()
+
+    def product(left: DataFrame, trades: DataFrame, how) -> DataFrame:
+        grid = counted_grid(left, trades, ["client_id"], pairs_per_task)
+        return how(left, trades, ["client_id"], ["connected_client", "relationship"], ["trade_id"], grid).select(*key, "trade_id")
+
+    with_new = known.join(ids(new_trades), "client_id", "left_semi").join(live, "client_id", "left")
+    awake_known = awake.join(known, "client_id", "left_semi").select(*key)
+    first = product(with_new.select(*key), own(new_trades, known), pair_join)
+    second = product(awake_known, own(old_trades, awake_known), pair_join)
+    without = awake_known.join(trading_now, "client_id", "left_anti").withColumn("trade_id", F.lit(None).cast(dict(new_trades.dtypes)["trade_id"]))
+    every = old_trades.select("client_id", "trade_id").unionByName(new_trades.select("client_id", "trade_id"))
+    third = product(added.join(live, "client_id", "left").select(*key), own(every, added), pair_left_join)
+    return first.unionByName(second).unionByName(without.select(*key, "trade_id")).unionByName(third)
+
+
 def iq_instruments(instruments: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Distinct instruments (trades can neither add nor remove any)."""
     rows = instruments.select("underlying", "isin", "sector", "instrument_id").distinct()

@@ -23,6 +23,13 @@ SELECT t.* REPLACE (CAST(t.notional AS DECIMAL(20,2)) AS notional, CAST(t.quanti
        t.notional AS notional1, country, risk_rating, instrument_id, sector,
        CAST(coalesce(upper(risk_flag) = 'INSIDER', false) AS INTEGER) AS label_insider
 FROM trades_raw t LEFT JOIN clients_raw USING (client_id) LEFT JOIN instruments_raw USING (underlying, isin)""",
+    "base_latest": """
+SELECT b.* REPLACE (c.country AS country, c.risk_rating AS risk_rating) FROM feature_trade_base b
+LEFT JOIN (SELECT client_id, arg_max(country, sent) AS country, arg_max(risk_rating, sent) AS risk_rating FROM client_sends GROUP BY client_id) c USING (client_id)""",
+    "base_as_of": """
+SELECT b.* REPLACE (c.country AS country, c.risk_rating AS risk_rating) FROM feature_trade_base b
+LEFT JOIN (SELECT *, lead(sent) OVER w AS until, row_number() OVER w AS nth FROM client_sends WINDOW w AS (PARTITION BY client_id ORDER BY sent)) c
+  ON c.client_id = b.client_id AND (trade_date >= sent OR nth = 1) AND (until IS NULL OR trade_date < until)""",
     "client_hop1": """
 SELECT client_id, count(o.from_client) AS out_degree,
        (SELECT count(*) FROM relationships_raw i WHERE i.to_client = c.client_id) AS in_degree,
@@ -32,8 +39,8 @@ FROM clients_raw c LEFT JOIN relationships_raw o ON o.from_client = c.client_id
     "hop3_walks": """
 SELECT x.from_client AS root_client, x.to_client AS hop1_client, y.to_client AS hop2_client, z.to_client AS hop3_client,
        CAST(z.to_client = x.from_client AS INTEGER) AS is_three_hop_loop
-FROM relationships_raw x, relationships_raw y, relationships_raw z
-WHERE y.from_client = x.to_client AND z.from_client = y.to_client""",
+FROM relationships_raw x JOIN relationships_raw y ON y.from_client = x.to_client
+JOIN relationships_raw z ON z.from_client = y.to_client""",
     "client_hop3": """
 SELECT client_id, count(root_client) AS hop3_path_count,
        CAST(coalesce(sum(is_three_hop_loop), 0) AS BIGINT) AS three_hop_loop_count,
@@ -164,6 +171,8 @@ _LOADED = _plain("trades_raw", days=_TRADE_DAYS)
 FINAL: dict[str, str] = {
     "feature_trade_base": _plain("feature_trade_base", _AMOUNTS, _TRADE_DAYS),
     "feature_trade_base_incremental": _plain("feature_trade_base", _AMOUNTS, _TRADE_DAYS),
+    "feature_trade_base_latest": _plain("base_latest", _AMOUNTS, _TRADE_DAYS),
+    "feature_trade_base_as_of": _plain("base_as_of", _AMOUNTS, _TRADE_DAYS),
     "client_hop1": _plain("client_hop1"),
     "client_hop3": _plain("client_hop3"),
     "hop3_walks": _plain("hop3_walks"),
@@ -185,6 +194,22 @@ FINAL: dict[str, str] = {
         (_MONEY,),
         ("trade_date",),
     ),
+    "iq_trades_by_state": _plain("(SELECT * FROM iq_trades WHERE direction = 'SELL')", (_MONEY,), ("trade_date",)),
+    "client_trade_state": """
+SELECT client_id, underlying, count(*) AS pair_trades, sum(CAST(CAST(notional AS FLOAT) AS DOUBLE)) AS pair_sum, count(notional) AS pair_amounts
+FROM feature_store GROUP BY client_id, underlying""",
+    "iq_events_grown": """
+SELECT event_id, count(*) AS n_rows, count(trade_id) AS trades, min(trade_id) AS first_trade, max(trade_id) AS last_trade,
+       CAST(sum(days_to_next_event) AS BIGINT) AS days_sum
+FROM iq_events LEFT JOIN (SELECT trade_id, direction FROM trades_raw) USING (trade_id)
+WHERE event_type = 'Earnings Release' OR direction = 'SELL' GROUP BY event_id""",
+    "iq_clients_grown": """
+SELECT * FROM iq_clients EXCEPT
+SELECT DISTINCT c.client_id, n.to_client, n.relationship, t.trade_id
+FROM (SELECT * FROM clients_raw WHERE client_id NOT LIKE '%7') c
+LEFT JOIN (SELECT * FROM relationships_raw WHERE relationship = 'FAMILY'
+  AND to_client IN (SELECT client_id FROM iq_trades WHERE direction <> 'SELL')) n ON n.from_client = c.client_id
+LEFT JOIN (SELECT * FROM iq_trades WHERE direction <> 'SELL') t ON t.client_id = c.client_id""",
     "iq_events_by_event": """
 SELECT event_id, underlying, event_type, CAST(event_date AS VARCHAR) AS event_date, count(*) AS n_rows, count(trade_id) AS trades,
        min(trade_id) AS first_trade, max(trade_id) AS last_trade, CAST(sum(days_to_next_event) AS BIGINT) AS days_sum,
@@ -289,9 +314,8 @@ FROM iq_trades GROUP BY underlying, jurisdiction_risk""",
 SELECT label_insider, count(*) AS n_rows, CAST(sum(count(*)) OVER () AS DOUBLE) / count(*) OVER () / count(*) AS weight
 FROM feature_store GROUP BY label_insider""",
     "stratified_split": """
-SELECT trade_id, label_insider, CAST(CASE WHEN n <= 10000
-    THEN row_number() OVER (PARTITION BY label_insider ORDER BY md5(trade_id), trade_id) <= n - least(CAST(ceil(n * 0.4) AS BIGINT), n - 1)
-    ELSE substr(md5(trade_id), 1, 8) < '9999999a' END AS INTEGER) AS is_train
+SELECT trade_id, label_insider, CAST(row_number() OVER (PARTITION BY label_insider ORDER BY md5(trade_id), trade_id)
+    <= n - least(CAST(ceil(n * 0.4) AS BIGINT), n - 1) AS INTEGER) AS is_train
 FROM (SELECT trade_id, label_insider, count(*) OVER (PARTITION BY label_insider) AS n FROM feature_store)""",
     "confusion_matrix": _plain("matrix"),
     "classification_report": """
@@ -305,6 +329,12 @@ SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negati
        CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS roc_auc
 FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY predicted_probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
   FROM (SELECT predicted_probability, count(*) FILTER (WHERE label_insider = 1) AS pos, count(*) FILTER (WHERE label_insider <> 1) AS neg FROM scored GROUP BY 1))""",
+    "ingest_feeds": """
+SELECT 'clients' AS feed, client_id AS c1, name AS c2, country AS c3, risk_rating AS c4 FROM clients_raw
+UNION ALL SELECT 'events', event_id, underlying, event_type, CAST(event_date AS VARCHAR) FROM events_raw
+UNION ALL SELECT 'instruments', instrument_id, underlying, isin, sector FROM instruments_raw
+UNION ALL SELECT 'relationships', from_client, to_client, relationship, CAST(NULL AS VARCHAR) FROM relationships_raw
+UNION ALL SELECT 'trades', trade_id, client_id, underlying, CAST(trade_date AS VARCHAR) FROM trades_raw""",
     "ingest_incremental": _LOADED,
     "ingest_stream": _LOADED,
     "ingest_stream_features": _plain("iq_trades", (_MONEY,), ("trade_date",)),
@@ -324,5 +354,7 @@ def _needed(statement: str, found: list[str]) -> list[str]:
 def statement(name: str) -> str:
     """The query as one statement with the definitions it needs in front."""
     final = FINAL[name].strip()
-    parts = [f"{n} AS ({DEFINITIONS[n].strip()})" for n in _needed(final, [])]
+    # the links are made once: they are aggregated from all line items and joined several times
+    kinds = {"relationships_raw": "AS MATERIALIZED"}
+    parts = [f"{n} {kinds.get(n, 'AS')} ({DEFINITIONS[n].strip()})" for n in _needed(final, [])]
     return "WITH " + ",\n".join(parts) + "\n" + final

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tradevigil.functions.columns import MAX_HEURISTIC_SCORE
-from tradevigil.operators import features, graph, investigation, model, report
+from tradevigil.operators import client_state, dimensions, features, graph, investigation, model, report
 from tradevigil.plans.views import SurveillanceViews
 from tradevigil.schemas import FEEDS
 from tradevigil.session import scratch_path
 from tradevigil.sources import tables
 from tradevigil.sources.feeds import feed_table, load_feed
+from tradevigil.sources.sample import feed_view
 from tradevigil.streaming.ingest import feature_step
 from tradevigil.streaming.ingest import ingest_stream as start_ingest
 
@@ -58,6 +59,23 @@ def feature_trade_base_incremental(v):
     return sold.unionByName(features.feature_trade_base(v.trades, v.clients, v.instruments, existing=sold))
 
 
+def _client_sends(v) -> DataFrame:
+    """Clients, a third of them sent again later with another rating, and a ninth once more."""
+    return feed_view(v.spark, v.sf_dir, "client_sends")
+
+
+@query
+def feature_trade_base_latest(v):
+    """Trades with their client as last sent."""
+    return features.feature_trade_base(v.trades, dimensions.latest(_client_sends(v), ["client_id"], "sent"), v.instruments)
+
+
+@query
+def feature_trade_base_as_of(v):
+    """Trades with their client as known on the trade's day."""
+    return features.feature_trade_base(v.trades, _client_sends(v), v.instruments, client_sent="sent")
+
+
 @query
 def client_hop1(v):
     return v.hop1_plan()
@@ -116,6 +134,49 @@ def iq_trades_batch_scope(v):
     return investigation.iq_trades(v.store, existing=_bought(v), scope="batch")
 
 
+@query
+def iq_trades_by_state(v):
+    """Sold trades measured with the stored state of all other ones, which are not read for it."""
+    state = client_state.stored_form(client_state.client_state(v.store.where(F.col("direction") != "SELL")))
+    stored = v.stage("client_state_before", lambda: state)
+    return client_state.iq_trades_increment(v.store.where(F.col("direction") == "SELL"), stored)
+
+
+@query
+def client_trade_state(v):
+    """The states of sold and other trades, merged."""
+    sold = F.col("direction") == "SELL"
+    halves = [client_state.stored_form(client_state.client_state(v.store.where(side))) for side in (sold, ~sold)]
+    return client_state.merged_state(*halves).drop("firsts")
+
+
+@query
+def iq_events_grown(v):
+    """Pairs that earnings releases and sold trades add to those of all other events and trades."""
+    new = F.col("event_type") == "Earnings Release"
+    sold = F.col("direction") == "SELL"
+    rows = investigation.iq_events_delta(
+        v.events.where(new), v.events.where(~new), v.base.where(sold), v.base.where(~sold), v.proximity
+    )
+    return rows.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("trade_id").alias("trades"),
+        F.min("trade_id").alias("first_trade"),
+        F.max("trade_id").alias("last_trade"),
+        F.sum("days_to_next_event").alias("days_sum"),
+    )
+
+
+@query
+def iq_clients_grown(v):
+    """Rows that new clients, links of a second kind and sold trades add to the client table."""
+    late, kind, sold = F.col("client_id").endswith("7"), F.col("relationship") == "FAMILY", F.col("direction") == "SELL"
+    return investigation.iq_clients_delta(
+        v.clients.where(late), v.clients.where(~late), v.relationships.where(~kind), v.relationships.where(kind),
+        v.iq_trades.where(sold), v.iq_trades.where(~sold),
+    )
+
+
 @query
 def iq_events_by_event(v):
     """All trade-event pairs are made; per event they are folded to hand out less."""
@@ -469,6 +530,32 @@ def ingest_incremental(v):
     return feed_table(v.spark, "trades", db)
 
 
+#: Columns by which `ingest_feeds` hands out the rows of each feed.
+_SHOWN = {
+    "clients": ("client_id", "name", "country", "risk_rating"),
+    "events": ("event_id", "underlying", "event_type", "event_date"),
+    "instruments": ("instrument_id", "underlying", "isin", "sector"),
+    "relationships": ("from_client", "to_client", "relationship", None),
+    "trades": ("trade_id", "client_id", "underlying", "trade_date"),
+}
+
+
+@query
+def ingest_feeds(v):
+    """All five feeds landed as CSV and loaded twice; the second load finds nothing."""
+    landing, db = scratch_path(v.spark, "landing"), _database(v)
+    shown = None
+    for name, columns in _SHOWN.items():
+        _land(v, f"{landing}/{name}", getattr(v, name))
+        load_feed(v.spark, name, f"{landing}/{name}", db)
+        if load_feed(v.spark, name, f"{landing}/{name}", db) is not None:
+            raise RuntimeError("files were loaded twice")
+        cells = [(F.col(c) if c else F.lit(None)).cast("string").alias(f"c{i + 1}") for i, c in enumerate(columns)]
+        rows = feed_table(v.spark, name, db).select(F.lit(name).alias("feed"), *cells)
+        shown = rows if shown is None else shown.unionByName(rows)
+    return shown
+
+
 @query
 def ingest_stream(v):
     """The same landing folder as a stream, run to its end after each landing."""

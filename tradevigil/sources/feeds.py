@@ -5,12 +5,14 @@ Raw tables carry two extra columns, `_source_file` and the partition column
 stops in between, the next run finds a partition the ledger does not know and enters
 its files before it looks for new ones, so no file is loaded twice or lost. Streams load
 by the same steps into the same layout. Columns are matched by name: files may bring them
-in any order, leave some out (NULL) or add new ones (the table is widened). A feed has one
-writer at a time.
+in any order, leave some out (NULL) or add new ones (the table is widened). Case and white
+space around names do not count. A file whose header names a column twice is entered in the
+ledger with that error and without rows; the others are loaded. A feed has one writer at a time.
 """
 
 from __future__ import annotations
 
+import csv
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -28,6 +30,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("file_path", T.StringType()),
         T.StructField("load_ts", T.TimestampType()),
         T.StructField("_load_id", T.StringType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 FILES_PER_LOAD = 10_000
@@ -47,8 +50,20 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def cast_columns(df: DataFrame, dates: Sequence[str] = (), doubles: Sequence[str] = ()) -> DataFrame:
     """Cast the listed columns where present; cells that do not parse become NULL."""
-    casts = {c: F.try_to_date(c) for c in dates} | {c: fx.as_double(c) for c in doubles}
-    return df.withColumns({c: e for c, e in casts.items() if c in df.columns})
+    own = {c.lower(): c for c in df.columns}
+    casts = {own[c.lower()]: F.try_to_date(own[c.lower()]) for c in dates if c.lower() in own}
+    casts |= {own[c.lower()]: fx.as_double(own[c.lower()]) for c in doubles if c.lower() in own}
+    return df.withColumns(casts)
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line, trimmed; ValueError where one comes twice, whatever its case."""
+    names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]))]
+    lower = [n.lower() for n in names if n]
+    twice = sorted({n for n in lower if lower.count(n) > 1})
+    if twice:
+        raise ValueError(f"header names a column twice: {', '.join(twice)}")
+    return names
 
 
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -68,7 +83,11 @@ def _enter_unlisted_loads(spark: SparkSession, raw_table: str, ledger_table: str
 
 
 def _enter(files: DataFrame, ledger_table: str) -> None:
-    append(files.select("file_path", F.current_timestamp().alias("load_ts"), "_load_id"), ledger_table)
+    spark = files.sparkSession
+    if spark.catalog.tableExists(ledger_table) and "error" not in spark.table(ledger_table).columns:
+        spark.sql(f"ALTER TABLE {ledger_table} ADD COLUMNS (error string)")
+    error = F.col("error") if "error" in files.columns else F.lit(None).cast("string").alias("error")
+    append(files.select("file_path", F.current_timestamp().alias("load_ts"), "_load_id", error), ledger_table)
 
 
 def _chunks(rows: Iterator, size: int) -> Iterator[list]:
@@ -133,21 +152,28 @@ def _load(
     spark: SparkSession, paths: list[str], raw_table: str, ledger_table: str, dates: Sequence[str], doubles: Sequence[str]
 ) -> str:
     load_id = uuid.uuid4().hex
-    parts = []
-    for same_header in _by_header(spark, paths):
-        rows = cast_columns(read_csv(spark, same_header), dates, doubles)
-        parts.append(rows.select("*", F.col("_metadata.file_path").alias("_source_file")))
+    parts, refused = [], {}
+    for header, same_header in _by_header(spark, paths).items():
+        try:
+            names = header_names(header)
+        except ValueError as error:
+            refused |= dict.fromkeys(same_header, str(error))
+            continue
+        rows = read_csv(spark, same_header)
+        rows = rows.select(*[F.col(quoted(c)).alias(n or c) for c, n in zip(rows.columns, names, strict=False)], F.col("_metadata.file_path").alias("_source_file"))
+        parts.append(cast_columns(rows, dates, doubles))
     if parts:
         every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         _append_load(every.withColumn("_load_id", F.lit(load_id)), raw_table)
-    _enter(spark.createDataFrame([(p, load_id) for p in paths], "file_path string, _load_id string"), ledger_table)
+    entries = [(p, load_id, refused.get(p)) for p in paths]
+    _enter(spark.createDataFrame(entries, "file_path string, _load_id string, error string"), ledger_table)
     return load_id
 
 
-def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files in groups of one header line each, as a CSV scan names all its columns by one file.
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files by their header line, as a CSV scan names all its columns by one file.
 
-    One pass over the lines; a digest per file comes back. Files without a line are left out.
+    One pass over the lines; a header per file comes back. Files without a line are left out.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -156,11 +182,11 @@ def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
         F.monotonically_increasing_id().alias("line"),
     )
     present = lines.where((F.col("block") == 0) & (F.trim("value") != ""))
-    first = present.groupBy("file_path").agg(F.md5(F.min_by("value", "line")).alias("header"))
+    first = present.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
     groups: dict[str, list[str]] = {}
     for row in first.orderBy("file_path").toLocalIterator():
         groups.setdefault(row["header"], []).append(row["file_path"])
-    return list(groups.values())
+    return groups
 
 
 def _append_load(rows: DataFrame, raw_table: str) -> None:
@@ -196,3 +222,15 @@ def feed_table(spark: SparkSession, feed: FeedSpec | str, database: str | None =
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     prefix = f"{database}." if database else ""
     return table_or_empty(spark, prefix + feed.table, feed.raw_schema).drop(*LOAD_COLUMNS)
+
+
+def feed_sends(spark: SparkSession, feed: FeedSpec | str, database: str | None = None) -> DataFrame:
+    """All loaded rows of a feed with `sent`, the time of their load; NULL for rows of no known load."""
+    feed = FEEDS[feed] if isinstance(feed, str) else feed
+    prefix = f"{database}." if database else ""
+    rows = table_or_empty(spark, prefix + feed.table, feed.raw_schema)
+    if "_load_id" not in rows.columns:
+        return rows.withColumn("sent", F.lit(None).cast("timestamp"))
+    ledger = table_or_empty(spark, prefix + feed.ledger, LEDGER_SCHEMA)
+    loads = ledger.groupBy("_load_id").agg(F.min("load_ts").alias("sent"))
+    return rows.join(loads, "_load_id", "left").drop(*LOAD_COLUMNS)

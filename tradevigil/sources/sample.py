@@ -15,6 +15,12 @@ FEED_SQL = {
 SELECT concat('C', CAST(c_custkey AS STRING)) AS client_id, c_name AS name, n_name AS country,
  CASE WHEN c_acctbal < 0 THEN 'High' WHEN c_acctbal < 3000 THEN 'Medium' ELSE 'Low' END AS risk_rating
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
+    "client_sends": """
+SELECT concat('C', CAST(c_custkey AS STRING)) AS client_id, c_name AS name, n_name AS country, risk_rating, sent FROM (
+ SELECT *, CASE WHEN c_acctbal < 0 THEN 'High' WHEN c_acctbal < 3000 THEN 'Medium' ELSE 'Low' END AS risk_rating, DATE '1992-01-01' AS sent FROM {customer}
+ UNION ALL SELECT *, CASE WHEN c_acctbal < 5000 THEN 'High' ELSE 'Medium' END AS risk_rating, DATE '1995-06-17' AS sent FROM {customer} WHERE c_custkey % 3 = 0
+ UNION ALL SELECT *, 'Low' AS risk_rating, DATE '1997-03-01' AS sent FROM {customer} WHERE c_custkey % 9 = 0) x
+JOIN {nation} ON c_nationkey = n_nationkey""",
     "instruments_raw": """
 SELECT concat('I', CAST(MIN(p_partkey) AS STRING)) AS instrument_id, p_brand AS underlying, p_type AS isin, p_type AS sector
 FROM {part} GROUP BY p_brand, p_type""",

@@ -48,21 +48,113 @@ def create_if_missing(df: DataFrame, name: str) -> bool:
 def replace(df: DataFrame, name: str, reads_itself: bool = False) -> None:
     """Create the table or replace its rows and schema; what it is partitioned by stays.
 
-    A `df` that reads the table itself goes by way of a staged copy; others are
-    written once.
+    A `df` that reads the table itself is written beside it and swapped in, see `swap_table`;
+    others are written over it.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         df.write.format(FORMAT).saveAsTable(name)
         return
     kept = [c for c in partition_columns(spark, name) if c in df.columns]
-    staged = f"{name}_staged_{uuid.uuid4().hex[:8]}"
+    if reads_itself and not kept:
+        swap_table(df, name)
+        return
     if reads_itself:
-        df.write.format(FORMAT).saveAsTable(staged)
-        df = spark.table(staged)
+        beside = f"{name}{NEXT}"
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        df.write.format(FORMAT).partitionBy(*kept).saveAsTable(beside)
+        recover(spark, name, finish=True)
+        return
     df.write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).partitionBy(*kept).saveAsTable(name)
-    if reads_itself:
-        spark.sql(f"DROP TABLE {staged}")
+
+
+# ---- swapping in ---------------------------------------------------------------
+
+#: Tables that say what is to be swapped in: old and new folders, and a whole new table.
+SWAP, NEXT = "__swap", "__next"
+
+
+def location(spark: SparkSession, name: str, partition: str | None = None) -> str:
+    """Folder of the table, or of one of its partitions (`column='value'`)."""
+    part = f" PARTITION ({partition})" if partition else ""
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}{part}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _beside(spark: SparkSession, name: str) -> str:
+    """A new folder next to the table's database."""
+    return f"{location(spark, name).rstrip('/')}{NEXT}-{uuid.uuid4().hex[:8]}"
+
+
+def swap_table(df: DataFrame, name: str) -> None:
+    """Replace an unpartitioned table by `df`, which may read it: written beside, then one change of place.
+
+    A stop before that change leaves the old table, after it the new one. Columns the table
+    does not have yet are added before it (old rows show NULL); columns must not change their type.
+    """
+    spark = df.sparkSession
+    known = {f.name.lower(): f.dataType for f in spark.table(name).schema}
+    added = [f for f in df.schema if f.name.lower() not in known]
+    if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in df.schema):
+        raise ValueError(f"{name}: a column's type cannot change in place")
+    old, new = location(spark, name), _beside(spark, name)
+    df.write.format(FORMAT).save(new)
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quoted(f.name)} {f.dataType.simpleString()}' for f in added)})")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(name)
+    _remove(spark, old)
+
+
+def swap_partitions(df: DataFrame, name: str, column: str, values: Sequence[str]) -> None:
+    """Replace partitions of a table by the rows of `df`, which may read them; all or none of them.
+
+    The new rows are written beside the table. What is to be swapped is then entered in a
+    table `<name>__swap`; from there on the swap is only ever completed (`recover`), before that
+    only the old partitions are seen.
+    """
+    spark = df.sparkSession
+    if not values:
+        return
+    new = _beside(spark, name)
+    df.where(F.col(column).isin(list(values))).write.format(FORMAT).partitionBy(column).save(new)
+    rows = [(f"{column}='{v}'", location(spark, name, f"{column}='{v}'"), f"{new}/{column}={v}") for v in values]
+    plan = spark.createDataFrame(rows, "spec string, old string, new string").coalesce(1)
+    plan.write.format(FORMAT).saveAsTable(f"{name}{SWAP}")
+    recover(spark, name)
+
+
+def recover(spark: SparkSession, name: str, finish: bool = False) -> None:
+    """Complete a swap that a stopped run left entered; nothing to do in all other cases."""
+    entered = f"{name}{SWAP}"
+    if spark.catalog.tableExists(entered):
+        rows = spark.table(entered).collect()  # one per partition
+        for r in rows:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({r['spec']}) SET LOCATION '{r['new']}'")
+        spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {entered}")
+        for r in rows:
+            if r["old"] != r["new"]:
+                _remove(spark, r["old"])
+    beside = f"{name}{NEXT}"
+    if spark.catalog.tableExists(beside) and (finish or not spark.catalog.tableExists(name)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+        spark.catalog.refreshTable(name)
+
+
+def recover_all(spark: SparkSession, database: str) -> None:
+    """`recover` for every table of a database: for the start of a run."""
+    names = [t.name for t in spark.catalog.listTables(database)]
+    for suffix in (SWAP, NEXT):
+        for n in names:
+            if n.endswith(suffix):
+                recover(spark, f"{database}.{n.removesuffix(suffix)}")
 
 
 def append_unseen(df: DataFrame, name: str, keys: Sequence[str], latest_by: str | None = None, unique: bool = False) -> None:
@@ -90,8 +182,21 @@ def corrected(df: DataFrame, fixes: DataFrame, key: str, column: str) -> DataFra
 
 
 def correct_table(spark: SparkSession, name: str, fixes: DataFrame, key: str, column: str) -> None:
-    """Apply keyed corrections to a stored table, by way of a staged copy."""
-    replace(corrected(spark.table(name), fixes, key, column), name, reads_itself=True)
+    """Apply keyed corrections to a stored table.
+
+    The new rows are written beside the old ones and swapped in, of a partitioned table only
+    the partitions that hold a fixed key. A stop at any step leaves the old rows or, after
+    `recover`, the new ones.
+    """
+    recover(spark, name)
+    rows = spark.table(name)
+    split = partition_columns(spark, name)
+    if len(split) != 1:
+        replace(corrected(rows, fixes, key, column), name, reads_itself=True)
+        return
+    touched = rows.join(fixes.select(key), key, "left_semi").select(F.col(split[0]).cast("string").alias("value"))
+    values = sorted(r["value"] for r in touched.distinct().collect())
+    swap_partitions(corrected(rows, fixes, key, column), name, split[0], values)
 
 
 def clear_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:

@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradevigil.operators import features, investigation
-from tradevigil.operators.joins import one_per_key
+from tradevigil.plans.stages import Stages
 from tradevigil.schemas import FEEDS, FeedSpec
 from tradevigil.sources.feeds import LOAD_COLUMNS, load_files
-from tradevigil.sources.tables import append_unseen
 
 BatchStep = Callable[[DataFrame], None]
 
@@ -73,28 +71,16 @@ def ingest_stream(
 def feature_step(database: str) -> BatchStep:
     """Per-batch step that brings base, proximity, store and investigated trades up to date.
 
-    The batch joins the dimension tables and network tables as they stand.
+    It takes the files that the batch has added to the trades, found by the stage ledger, so a
+    replayed batch changes nothing and a step that stopped is completed by the next. New
+    trades join the dimension and network tables as they stand and are measured by the
+    clients' stored state: of old trades only the keys are read.
     """
 
     def step(batch: DataFrame) -> None:
-        spark = batch.sparkSession
-
-        def table(name: str) -> DataFrame:
-            return spark.table(f"{database}.{name}")
-
-        # the same choice among repeated keys as for the stored trades
-        batch = one_per_key(batch, ["trade_id"])
-        base = features.feature_trade_base(batch, table("clients_raw"), table("instruments_raw"))
-        near = features.event_proximity(batch, table("events_raw"), unique_trades=True)
-        append_unseen(base, f"{database}.feature_trade_base", ["trade_id"])
-        append_unseen(near, f"{database}.feature_event_proximity", ["trade_id"])
-        fresh = table("feature_trade_base").join(batch.select("trade_id"), "trade_id", "left_semi")
-        store = features.feature_store(
-            fresh, table("feature_client_hop1"), table("feature_client_hop3"), table("feature_event_proximity")
-        )
-        append_unseen(store, f"{database}.feature_store_trade_ml", ["trade_id"])
-        existing = table("iq_trades") if spark.catalog.tableExists(f"{database}.iq_trades") else None
-        fresh_trades = investigation.iq_trades(table("feature_store_trade_ml"), existing)
-        append_unseen(fresh_trades, f"{database}.iq_trades", ["trade_id"])
+        stages = Stages(batch.sparkSession, database)
+        stages.grow_base(unique=True)
+        stages.grow_store(proximity_of_batch=True)
+        stages.grow_iq_trades()
 
     return step
