@@ -92,7 +92,7 @@ def test_client_delta_equals_the_rebuild(spark, same_rows):
     links = [(a, b, r) for i, a in enumerate(ids) for j, b in enumerate(ids) for r in "FS" if (i * 5 + j * 3 + ord(r)) % 7 == 0]
     trades = [(c, f"t{i}{k}") for i, c in enumerate(ids) if i % 3 for k in range(i % 4)]
     schemas = ("client_id string", "from_client string, to_client string, relationship string", "client_id string, trade_id string")
-    for seed in range(3):
+    for seed in range(2):
         sides = []
         for rows, schema in zip((clients, links, trades), schemas, strict=True):
             new = [r for n, r in enumerate(rows) if (n * 7 + seed * 3) % 5 < 2 + seed % 2]
@@ -102,27 +102,29 @@ def test_client_delta_equals_the_rebuild(spark, same_rows):
         same_rows(investigation.iq_clients_delta(*sides, pairs_per_task=1), every.exceptAll(old))
 
 
-TABLES = ("feature_trade_base", "feature_store_trade_ml", "iq_trades", "iq_events", "iq_clients", "iq_instruments")
+TABLES = ("feature_trade_base", "feature_store_trade_ml", "feature_event_proximity", "iq_trades", "iq_events", "iq_clients")
+STEPS = ("grow_base", "grow_store", "grow_iq_trades", "grow_iq_events", "grow_iq_clients")
 
 
-def feed_tables(spark, views, database, sides):
+def feed_tables(spark, views, database, side):
     few = F.pmod(F.xxhash64("event_id"), F.lit(30)) == 0
-    for name, rows in {
-        "clients_raw": views.clients,
-        "instruments_raw": views.instruments,
-        "relationships_raw": views.relationships,
-        "events_raw": views.events.where(few & (F.col("event_type") == "view")) if sides == ("BUY",) else views.events.where(few & (F.col("event_type") != "view")),
-        "trades_raw": views.trades.where(F.col("direction").isin(*sides)),
-    }.items():
-        if name in ("trades_raw", "events_raw") or not spark.catalog.tableExists(f"{database}.{name}"):
-            tables.append(rows, f"{database}.{name}")
+    kind = F.col("event_type") == "view"
+    tables.append(views.trades.where(F.col("direction") == side), f"{database}.trades_raw")
+    tables.append(views.events.where(few & (kind if side == "BUY" else ~kind)), f"{database}.events_raw")
+    for name in ("clients", "instruments", "relationships"):
+        tables.create_if_missing(getattr(views, name), f"{database}.{name}_raw")
+    tables.create_if_missing(views.hop1, f"{database}.feature_client_hop1")
+    tables.create_if_missing(views.hop3, f"{database}.feature_client_hop3")
 
 
-def build(spark, database):
-    stages = Stages(spark, database)
-    stages.build_features()
-    stages.build_investigation()
-    return stages
+def grow(stages, killed=None):
+    for step in STEPS:
+        given = {"proximity_of_batch": True} if step == "grow_store" else {}
+        if killed:
+            with killed.context() as m, pytest.raises(RuntimeError, match="killed"):
+                m.setattr(StageLedger, "finish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+                getattr(stages, step)(**given)
+        getattr(stages, step)(**given)
 
 
 def contents(stages):
@@ -132,36 +134,25 @@ def contents(stages):
 
 
 def test_a_run_that_stops_at_any_stage_is_taken_up(spark, views, database, monkeypatch):
-    """Killed before each entry as done, in both runs, and run again: the tables of an undisturbed run."""
-    straight = database
-    spark.sql(f"CREATE DATABASE {straight}_k LOCATION '{tempfile.mkdtemp(prefix='tradevigil-db-')}'")
-    for sides in (("BUY",), ("SELL",)):
-        feed_tables(spark, views, straight, sides)
-        clean = build(spark, straight)
-        feed_tables(spark, views, f"{straight}_k", sides)
-        finish, left = StageLedger.finish, {"feature_trade_base", "feature_store_trade_ml", "iq_trades", "iq_events", "iq_clients"}
-
-        def stopping(self, stage, batch):
-            if stage in left:
-                left.remove(stage)
-                raise RuntimeError("killed")
-            finish(self, stage, batch)
-
-        monkeypatch.setattr(StageLedger, "finish", stopping)
-        while left:
-            with pytest.raises(RuntimeError, match="killed"):
-                build(spark, f"{straight}_k")
-        killed = build(spark, f"{straight}_k")
-        monkeypatch.setattr(StageLedger, "finish", finish)
-    assert contents(killed) == contents(clean)
-    everything = views.iq_trades.where("direction = 'SELL'")
-    assert clean.table("iq_trades").where("direction = 'SELL'").exceptAll(everything).count() == 0
+    """Each stage of the second run killed before it is entered as done: the tables of an undisturbed run."""
+    other = f"{database}_k"
+    spark.sql(f"CREATE DATABASE {other} LOCATION '{tempfile.mkdtemp(prefix='tradevigil-db-')}'")
+    clean, killed = Stages(spark, database), Stages(spark, other)
+    for side in ("BUY", "SELL"):
+        for stages in (clean, killed):
+            feed_tables(spark, views, stages.database, side)
+        grow(clean)
+        grow(killed, monkeypatch if side == "SELL" else None)
     before = contents(clean)
-    assert contents(build(spark, straight)) == before  # nothing new, nothing done
+    assert contents(killed) == before
+    measured = [t.where("direction = 'SELL'").select(*COLUMNS) for t in (clean.table("iq_trades"), views.iq_trades)]
+    assert measured[0].exceptAll(measured[1]).count() == 0 == measured[1].exceptAll(measured[0]).count()
     # a table written anew is recognised, and its rows are not added again; the segments merge
-    clean.build_features(refresh=True)
+    tables.replace(clean.table("feature_store_trade_ml"), f"{database}.feature_store_trade_ml", reads_itself=True)
     monkeypatch.setattr(stage_module, "MOST_SEGMENTS", 0)
-    assert contents(build(spark, straight)) == before
+    clean.grow_iq_trades()
+    assert contents(clean) == before
+    assert clean.ledger.batches("iq_trades", [f"{database}.feature_store_trade_ml"]) == []
 
 
 @pytest.fixture
