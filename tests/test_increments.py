@@ -12,7 +12,7 @@ from tradevigil.operators import client_state, dimensions, features, investigati
 from tradevigil.plans import stages as stage_module
 from tradevigil.plans.stages import Stages
 from tradevigil.sources import feeds, tables
-from tradevigil.sources.runs import StageLedger
+from tradevigil.sources.runs import StageLedger, write_batch
 
 
 def plan(df):
@@ -155,6 +155,33 @@ def test_a_run_that_stops_at_any_stage_is_taken_up(spark, views, database, monke
     assert clean.ledger.batches("iq_trades", [f"{database}.feature_store_trade_ml"]) == []
 
 
+def test_many_segments_are_merged(spark, database, third, monkeypatch, same_rows):
+    name = f"{database}.iq_client_state"
+    for i, lot in enumerate(third[1]):
+        write_batch(state_of(lot), name, f"batch{i}")
+    write_batch(state_of(third[1][2]), name, "batch2")  # a repeated batch takes its own place
+    monkeypatch.setattr(stage_module, "MOST_SEGMENTS", 2)
+    Stages(spark, database)._merge_state(name)
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["_batch=merged"]
+    same_rows(spark.table(name).drop("_batch", "firsts"), state_of(third[0]).drop("firsts"))
+    write_batch(state_of(third[1][0]), name, "late")
+    Stages(spark, database)._merge_state(name)
+    assert spark.table(name).where("_batch = 'merged'").agg(F.sum("pair_trades")).first()[0] == third[0].count()
+
+
+def test_a_partitioned_table_replaced_from_itself(spark, database):
+    name = f"{database}.p"
+    spark.range(30).withColumn("p", (F.col("id") % 3).cast("string")).write.partitionBy("p").saveAsTable(name)
+    rows = spark.table(name)
+    moved = rows.where("p <> '1'").withColumn("p", F.when(F.col("id") % 2 == 0, F.lit("9")).otherwise(F.col("p"))).withColumn("extra", F.col("id") * 2)
+    tables.replace(moved.select("id", "extra", "p"), name, reads_itself=True)
+    assert sorted((r["id"], r["extra"], r["p"]) for r in spark.table(name).collect()) == [
+        (i, 2 * i, "9" if i % 2 == 0 else str(i % 3)) for i in range(30) if i % 3 != 1
+    ]
+    tables.replace(spark.table(name).where("id < 0"), name, reads_itself=True)
+    assert spark.table(name).count() == 0 and spark.sql(f"SHOW PARTITIONS {name}").count() == 0
+
+
 @pytest.fixture
 def instruments(spark, database):
     folder, name = tempfile.mkdtemp(prefix="tradevigil-l-"), f"{database}.instruments_raw"

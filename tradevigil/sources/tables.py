@@ -60,18 +60,19 @@ def replace(df: DataFrame, name: str, reads_itself: bool = False) -> None:
         swap_table(df, name)
         return
     if reads_itself:
-        beside = f"{name}{NEXT}"
-        spark.sql(f"DROP TABLE IF EXISTS {beside}")
-        df.write.format(FORMAT).partitionBy(*kept).saveAsTable(beside)
-        recover(spark, name, finish=True)
+        if len(kept) > 1:
+            raise ValueError(f"{name} is partitioned by several columns, which cannot be swapped in")
+        new = [r["value"] for r in df.select(F.col(kept[0]).cast("string").alias("value")).distinct().collect()]
+        old = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        swap_partitions(df, name, kept[0], sorted({*new, *old}))
         return
     df.write.mode("overwrite").option("overwriteSchema", "true").format(FORMAT).partitionBy(*kept).saveAsTable(name)
 
 
 # ---- swapping in ---------------------------------------------------------------
 
-#: Tables that say what is to be swapped in: old and new folders, and a whole new table.
-SWAP, NEXT = "__swap", "__next"
+#: Suffix of the table that says which folders are to be swapped in.
+SWAP = "__swap"
 
 
 def location(spark: SparkSession, name: str, partition: str | None = None) -> str:
@@ -88,7 +89,18 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 def _beside(spark: SparkSession, name: str) -> str:
     """A new folder next to the table's database."""
-    return f"{location(spark, name).rstrip('/')}{NEXT}-{uuid.uuid4().hex[:8]}"
+    return f"{location(spark, name).rstrip('/')}__next-{uuid.uuid4().hex[:8]}"
+
+
+def _add_columns(df: DataFrame, name: str) -> None:
+    """Columns of `df` that the table does not have; rows it holds show NULL there."""
+    spark = df.sparkSession
+    known = {f.name.lower(): f.dataType for f in spark.table(name).schema}
+    if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in df.schema):
+        raise ValueError(f"{name}: a column's type cannot change in place")
+    added = [f for f in df.schema if f.name.lower() not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quoted(f.name)} {f.dataType.simpleString()}' for f in added)})")
 
 
 def swap_table(df: DataFrame, name: str) -> None:
@@ -98,14 +110,9 @@ def swap_table(df: DataFrame, name: str) -> None:
     does not have yet are added before it (old rows show NULL); columns must not change their type.
     """
     spark = df.sparkSession
-    known = {f.name.lower(): f.dataType for f in spark.table(name).schema}
-    added = [f for f in df.schema if f.name.lower() not in known]
-    if any(known.get(f.name.lower(), f.dataType) != f.dataType for f in df.schema):
-        raise ValueError(f"{name}: a column's type cannot change in place")
     old, new = location(spark, name), _beside(spark, name)
     df.write.format(FORMAT).save(new)
-    if added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quoted(f.name)} {f.dataType.simpleString()}' for f in added)})")
+    _add_columns(df, name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
     spark.catalog.refreshTable(name)
     _remove(spark, old)
@@ -116,45 +123,57 @@ def swap_partitions(df: DataFrame, name: str, column: str, values: Sequence[str]
 
     The new rows are written beside the table. What is to be swapped is then entered in a
     table `<name>__swap`; from there on the swap is only ever completed (`recover`), before that
-    only the old partitions are seen.
+    only the old partitions are seen. A named partition without new rows goes, one the table
+    does not have yet is added.
     """
     spark = df.sparkSession
     if not values:
         return
     new = _beside(spark, name)
     df.where(F.col(column).isin(list(values))).write.format(FORMAT).partitionBy(column).save(new)
-    rows = [(f"{column}='{v}'", location(spark, name, f"{column}='{v}'"), f"{new}/{column}={v}") for v in values]
+    written = spark.read.parquet(new).select(F.col(column).cast("string")).distinct() if _has_files(spark, new) else None
+    filled = {r[0] for r in written.collect()} if written is not None else set()
+    there = {r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    rows = []
+    for v in values:
+        spec = f"{column}='{v}'"
+        rows.append((spec, location(spark, name, spec) if v in there else None, f"{new}/{column}={v}" if v in filled else None))
+    _add_columns(df, name)
     plan = spark.createDataFrame(rows, "spec string, old string, new string").coalesce(1)
     plan.write.format(FORMAT).saveAsTable(f"{name}{SWAP}")
     recover(spark, name)
 
 
-def recover(spark: SparkSession, name: str, finish: bool = False) -> None:
+def _has_files(spark: SparkSession, path: str) -> bool:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return not found.select("path").isEmpty()
+
+
+def recover(spark: SparkSession, name: str) -> None:
     """Complete a swap that a stopped run left entered; nothing to do in all other cases."""
     entered = f"{name}{SWAP}"
-    if spark.catalog.tableExists(entered):
-        rows = spark.table(entered).collect()  # one per partition
-        for r in rows:
+    if not spark.catalog.tableExists(entered):
+        return
+    rows = spark.table(entered).collect()  # one per partition
+    for r in rows:
+        if r["new"] is None:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({r['spec']})")
+        elif r["old"] is None:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({r['spec']}) LOCATION '{r['new']}'")
+        else:
             spark.sql(f"ALTER TABLE {name} PARTITION ({r['spec']}) SET LOCATION '{r['new']}'")
-        spark.catalog.refreshTable(name)
-        spark.sql(f"DROP TABLE {entered}")
-        for r in rows:
-            if r["old"] != r["new"]:
-                _remove(spark, r["old"])
-    beside = f"{name}{NEXT}"
-    if spark.catalog.tableExists(beside) and (finish or not spark.catalog.tableExists(name)):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
-        spark.catalog.refreshTable(name)
+    spark.catalog.refreshTable(name)
+    spark.sql(f"DROP TABLE {entered}")
+    for r in rows:
+        if r["old"] and r["new"]:
+            _remove(spark, r["old"])
 
 
 def recover_all(spark: SparkSession, database: str) -> None:
     """`recover` for every table of a database: for the start of a run."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    for suffix in (SWAP, NEXT):
-        for n in names:
-            if n.endswith(suffix):
-                recover(spark, f"{database}.{n.removesuffix(suffix)}")
+    for t in spark.catalog.listTables(database):
+        if t.name.endswith(SWAP):
+            recover(spark, f"{database}.{t.name.removesuffix(SWAP)}")
 
 
 def append_unseen(df: DataFrame, name: str, keys: Sequence[str], latest_by: str | None = None, unique: bool = False) -> None:
