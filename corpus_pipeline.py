@@ -24,8 +24,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact or near copies stays."""
-    return simhash.one_per_group(docs)
+    """One document of each group stays: fingerprints over 4-word shingles, linked at 4 bits or fewer."""
+    return simhash.one_per_group(docs, shingle=4, threshold=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

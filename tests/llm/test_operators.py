@@ -224,64 +224,57 @@ def test_components_of_a_path_and_none(spark):
     assert components.components(edges.limit(0)).count() == 0
 
 
+def least_of_groups(rows, shingle, threshold):
+    """Smallest id of each component of all pairs of fingerprints, in plain Python."""
+    fp = [simhash.simhash(t, shingle) for _, t in rows]
+    root = list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            if (fp[i] ^ fp[j]).bit_count() <= threshold:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return {min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in set(root)}, fp
+
+
 def test_near_copies_go_and_others_stay(spark):
     rng = np.random.default_rng(3)
     base = [f"w{x}" for x in rng.integers(0, 5000, 400)]
-    edited = base[:100] + ["other"] + base[101:300] + ["words"] + base[301:]
+    edited = [*base[:-1], "other"]
     other = [f"w{x}" for x in rng.integers(0, 5000, 400)]
-    rows = [(3, " ".join(base)), (1, " ".join(edited)), (2, " ".join(other)), (9, " ".join(base))]
+    rows = [(3, " ".join(base)), (1, " ".join(edited)), (2, " ".join(other)), (9, " ".join(base).upper())]
+    assert least_of_groups(rows, 4, 4)[0] == {1, 2}
     assert sorted(r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()) == [1, 2]
 
 
-def test_no_near_copy_hides_behind_a_wrong_link(spark):
-    """Drifting copies, many a little under and over the similarity, against all pairs."""
+def test_groups_are_those_of_all_pairs(spark):
+    """Drifting copies, many a little under and over the distance, against all pairs."""
     rng = np.random.default_rng(5)
-    texts = [f"v{x}" for x in rng.integers(0, 800, 120)], [f"v{x}" for x in rng.integers(0, 800, 60)]
+    texts = [f"v{x}" for x in rng.integers(0, 800, 300)], [f"v{x}" for x in rng.integers(0, 800, 150)]
     rows = []
-    for i in range(160):
+    for i in range(240):
         text = list(texts[i % 2])
         for at in rng.integers(0, len(text), int(rng.integers(0, 6))):
             text[at] = f"v{rng.integers(0, 800)}"
-        rows.append((i, " ".join(text)))
-    rows += [(200, "a b"), (201, "b a"), (202, "a a b")]  # one fingerprint, different texts
-    fp = [simhash.simhash(t, 1, True) for _, t in rows]
-    near = [(i, j) for j in range(len(rows)) for i in range(j) if (fp[i] ^ fp[j]).bit_count() <= 8]
-    alike = [(i, j) for i, j in near if simhash.jaccard(rows[i][1], rows[j][1], 5) >= 0.8]
-    assert 100 < len(alike) < len(near) - 100
-    root = list(range(len(rows)))
-    for i, j in alike:
-        low, high = sorted((root[i], root[j]))
-        root = [low if r == high else r for r in root]
-    kept = {r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()}
-    assert kept == {rows[r][0] for r in root}
-
-
-def edited_passages(rng, n):
-    """Texts and copies with one passage appended, cut or replaced, a little over the similarity."""
-    pairs = []
-    for i in range(n):
-        size = int(rng.integers(100, 400))
-        own = [f"u{i}_{x}" for x in rng.integers(0, 5000, size)]
-        new = [f"n{i}_{x}" for x in range(size)]
-        at = int(rng.integers(0, size // 2))
-        kind = i % 3
-        if kind == 0:
-            copy = own + new[: int(size * 0.2)]
-        elif kind == 1:
-            copy = own[:at] + own[at + int(size * 0.16) :]
-        else:
-            copy = own[:at] + new[: int(size * 0.07)] + own[at + int(size * 0.07) :]
-        pairs.append((" ".join(own), " ".join(copy)))
-    return [p for p in pairs if simhash.jaccard(*p, 5) >= 0.8]
-
-
-def test_copies_with_an_edited_passage_go(spark):
-    pairs = edited_passages(np.random.default_rng(11), 300)
-    far = sum((simhash.simhash(a, 1, True) ^ simhash.simhash(b, 1, True)).bit_count() > 8 for a, b in pairs)
-    assert len(pairs) > 200 and far > len(pairs) / 5
-    rows = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
-    kept = {r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()}
-    assert kept == set(range(0, 2 * len(pairs), 2))
+        rows.append((1000 - i, " ".join(text)))
+    rows += [(2000, "a b"), (2001, "b a"), (2002, "a a b"), (2003, "A  B")]
+    wanted, fp = least_of_groups(rows, 4, 4)
+    links = sum((x ^ y).bit_count() <= 4 for k, x in enumerate(fp) for y in fp[:k])
+    assert links > 300 and 10 < len(wanted) < len(rows) - 100
+    kept = [r["doc_id"] for r in simhash.one_per_group(documents(spark, rows)).collect()]
+    assert sorted(kept) == sorted(wanted)
+
+
+def test_near_dedup_keeps_columns_named_like_its_own(spark):
+    rows = [(1, "one two three four five", 7, 8, 9), (2, "one two three four five", 1, 2, 3), (3, "else", 4, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_id int, Kept_Text int, fp int")
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_a_forest_has_fewer_links_than_fingerprints():
+    values = np.arange(16, dtype=np.uint64)  # all pairs differ in 4 bits at most
+    a, b = simhash.forest(values, values, 4)
+    assert len(a) == 15 and set(a) | set(b) == set(values)
 
 
 def test_order_is_seen(spark):

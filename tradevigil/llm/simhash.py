@@ -19,32 +19,26 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from tradevigil.llm import words
 from tradevigil.llm.components import components
-from tradevigil.llm.store import stored
+from tradevigil.llm.store import free_names, stored
 
 #: A cell of an anchor's pairs has about so many homes and members at most.
 CELL_HOMES, CELL_MEMBERS = 4096, 32768
 _CHUNK = 1 << 16  # shingles hashed at a time
-#: Min-hashes of a text's shingles: so many bands of so many. Texts that share a part J of
-#: their shingles have no band alike with odds (1 - J**BAND_ROWS) ** BANDS, wherever they differ.
-BANDS, BAND_ROWS = 24, 5
-#: Helper columns beside those of a caller's table.
-KEEP = ["_group_first_id", "_group_text_key"]
 
 
 # ---- fingerprints ------------------------------------------------------------
 
 
-def simhash(text: str | None, shingle: int, distinct: bool = False) -> int:
+def simhash(text: str | None, shingle: int) -> int:
     """64 bits: 1 where more than half of the shingles' XXH64 (seed 42) have a 1.
 
-    Shingles are `shingle` words joined by a space, repeats included unless `distinct`; a
-    text of fewer words is one shingle, one without words has fingerprint 0.
+    Shingles are `shingle` words joined by a space, repeats included; a text of fewer
+    words is one shingle, one without words has fingerprint 0.
     """
     data = b" ".join(words.split(text, words.SPACED))
     if not data:
@@ -53,8 +47,6 @@ def simhash(text: str | None, shingle: int, distinct: bool = False) -> int:
     k = min(shingle, len(starts))
     bounds = zip(starts[: len(starts) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     grams = (data[s:e] for s, e in bounds)
-    if distinct:
-        grams = iter(set(grams))
     ones, n, digest = np.zeros(64, dtype=np.int64), 0, xxhash.xxh64_intdigest
     while True:
         hashes = np.fromiter((digest(g, 42) for _, g in zip(range(_CHUNK), grams)), dtype="<u8")
@@ -66,54 +58,20 @@ def simhash(text: str | None, shingle: int, distinct: bool = False) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def shingles(text: str | None, shingle: int) -> np.ndarray:
-    """Hashes of the runs of `shingle` words; a text of fewer words is one run."""
-    data = words.fold(text, words.SPACED)
-    hashes = words.word_hashes(data, *words.spans(data))
-    k = min(shingle, len(hashes))
-    return words.gram_hashes(hashes, k) if k else np.zeros(0, dtype=np.uint64)
-
-
-_SEEDS = words.mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_FACTORS = words.mix(_SEEDS) | np.uint64(1)
-
-
-def bands(text: str | None, shingle: int) -> np.ndarray:
-    """A 64-bit value of each band of the text's min-hashes; none for a text without words."""
-    grams = shingles(text, shingle)
-    if not len(grams):
-        return np.zeros(0, dtype=np.int64)
-    least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(grams), 256):
-        h = grams[at : at + 256, None] ^ _SEEDS
-        h *= _FACTORS
-        np.minimum(least, h.min(axis=0), out=least)
-    values = np.zeros(BANDS, dtype=np.uint64)
-    for column in least.reshape(BANDS, BAND_ROWS).T:
-        values = words.mix(values ^ column)
-    return values.view(np.int64)
-
-
-def fingerprints(docs: DataFrame, shingle: int, distinct: bool = False, banded: int = 0) -> DataFrame:
-    """`doc_id`, `text_key` (hash of the text, NULL as empty) and `fp` of each row; with
-    `banded`, also the `bands` of shingles of so many words."""
+def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """`doc_id`, `text_key` (hash of the text, NULL as empty) and `fp` of each row."""
     rows = docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2)
-            found = [simhash(t.as_py(), shingle, distinct) for t in texts]
+            found = [simhash(t.as_py(), shingle) for t in batch.column(2)]
             values = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            arrays, names = [batch.column(0), batch.column(1), values], ["doc_id", "text_key", "fp"]
-            if banded:
-                arrays.append(pa.array([bands(t.as_py(), banded) for t in texts], pa.list_(pa.int64())))
-                names.append("bands")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], ["doc_id", "text_key", "fp"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, fp bigint" + ", bands array<bigint>" * bool(banded))
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, fp bigint")
 
 
 # ---- anchors -----------------------------------------------------------------
@@ -192,45 +150,34 @@ def reach(values: np.ndarray, seg: Segment) -> tuple[np.ndarray, np.ndarray, np.
     return index, part[index] ^ seg.patterns[seg.offsets[of][index] + within], within == 0
 
 
-def anchored(fps: DataFrame, threshold: int, carried: list[str]) -> DataFrame:
-    """`part`, `anchor`, `home`, `fp`: each fingerprint at each anchor in reach, with columns carried along."""
+def anchored(fps: DataFrame, threshold: int) -> DataFrame:
+    """`part`, `anchor`, `home`, `fp`: each fingerprint at each anchor in reach."""
     segs = segments(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for rows in np.array_split(np.arange(len(values)), len(values) // 4096 + 1):
+            for block in np.array_split(values, len(values) // 4096 + 1):
                 for part, seg in enumerate(segs):
-                    index, anchor, home = reach(values[rows], seg)
-                    index = rows[index]
+                    index, anchor, home = reach(block, seg)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(index), part, dtype=np.int8)),
                             pa.array(anchor.astype(np.int32)),
                             pa.array(home),
-                            pa.array(values[index].view(np.int64)),
-                            *[batch.column(c).take(pa.array(index)) for c in carried],
+                            pa.array(block[index].view(np.int64)),
                         ],
-                        ["part", "anchor", "home", "fp", *carried],
+                        ["part", "anchor", "home", "fp"],
                     )
 
-    columns = ["part tinyint", "anchor int", "home boolean", "fp bigint", *[f"{c} bigint" for c in carried]]
-    return fps.select("fp", *carried).mapInArrow(run, ", ".join(columns))
-
+    return fps.select("fp").mapInArrow(run, "part tinyint, anchor int, home boolean, fp bigint")
 
-def _banded(nodes: DataFrame, carried: list[str]) -> DataFrame:
-    """Columns of `anchored`: each value of each band is an anchor, and the home of all that have it."""
-    each = nodes.select(F.posexplode("bands").alias("band", "fp"), *carried)
-    part, anchor = (F.col("band") + 3).cast("tinyint"), F.shiftright("fp", 32).cast("int")
-    return each.select(part.alias("part"), anchor.alias("anchor"), F.lit(True).alias("home"), "fp", *carried)
 
-
-def _cells(rows: DataFrame, carried: list[str], few: bool = True) -> DataFrame:
+def _cells(rows: DataFrame) -> DataFrame:
     """Adds the cell (`i`, `j`): a large anchor's homes x members are cut into a grid.
 
-    The sizes of all anchors are counted. Of a code's anchors there are `few`, at most
-    2**18 + 2 * 2**12, so the list of the large ones has a bound and can be broadcast; that
-    of bands has none and is joined as it is.
+    The sizes of all anchors are counted. There are at most 2**18 + 2 * 2**12 of them, so
+    the list of the large ones has a bound and can be broadcast.
     """
     large = (
         rows.groupBy("part", "anchor")
@@ -243,10 +190,10 @@ def _cells(rows: DataFrame, carried: list[str], few: bool = True) -> DataFrame:
             F.ceil(F.col("members") / CELL_MEMBERS).cast("int").alias("n_j"),
         )
     )
-    sized = rows.join(F.broadcast(large) if few else large, ["part", "anchor"], "left").withColumns(
+    sized = rows.join(F.broadcast(large), ["part", "anchor"], "left").withColumns(
         {"n_i": F.greatest(F.lit(1), F.coalesce("n_i", F.lit(1))), "n_j": F.greatest(F.lit(1), F.coalesce("n_j", F.lit(1)))}
     )
-    mine = F.xxhash64(F.lit("cell"), "fp", *carried)
+    mine = F.xxhash64(F.lit("cell"), "fp")
     i, j = F.pmod(mine, F.col("n_i")).cast("int"), F.pmod(mine, F.col("n_j")).cast("int")
     as_member = F.transform(
         F.sequence(F.lit(0), F.col("n_i") - 1),
@@ -258,20 +205,17 @@ def _cells(rows: DataFrame, carried: list[str], few: bool = True) -> DataFrame:
     )
     split = F.col("home") & (F.col("n_i") * F.col("n_j") > 1)
     places = F.when(split, F.concat(as_member, as_home)).otherwise(as_member)
-    return sized.select("part", "anchor", "fp", *carried, F.explode(places).alias("at")).select("part", "anchor", "at.*", "fp", *carried)
+    return sized.select("part", "anchor", "fp", F.explode(places).alias("at")).select("part", "anchor", "at.*", "fp")
 
 
-def forest(
-    homes: np.ndarray, members: np.ndarray, threshold: int, home_ids: np.ndarray, member_ids: np.ndarray, every: bool
-) -> tuple[list[int], list[int]]:
+def forest(homes: np.ndarray, members: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect whatever links of `homes` to `members` connect; no others.
 
-    Ids have two columns: a row's name, and the class it is known to be in. No link is made
-    within a class. With `every`, all links between different classes, not a forest of them.
+    There are fewer of them than different fingerprints, however many differ little.
     """
-    a: list[int] = []
-    b: list[int] = []
-    label = np.unique(np.concatenate([home_ids[:, 1], member_ids[:, 1]]), return_inverse=True)[1]
+    a = [np.zeros(0, dtype=np.uint64)]
+    b = [np.zeros(0, dtype=np.uint64)]
+    label = np.unique(np.concatenate([homes, members]), return_inverse=True)[1]
     mine, label = label[: len(homes)], label[len(homes) :]
     width = max(1, (1 << 22) // max(1, len(members)))
     for at in range(0, len(homes), width):
@@ -282,39 +226,31 @@ def forest(
             home = at + row
             linked = np.flatnonzero(near[row])
             linked = linked[label[linked] != mine[home]]
-            if not every:
-                labels, first = np.unique(label[linked], return_index=True)
-                linked = linked[first]
-                label[np.isin(label, labels)] = mine[home]
-                mine[np.isin(mine, labels)] = mine[home]
-            a += [int(home_ids[home, 0])] * len(linked)
-            b += member_ids[linked, 0].tolist()
-    return a, b
-
-
-def _matched(
-    batches: Iterator[pa.RecordBatch], threshold: int, carried: list[str], every: bool
-) -> Iterator[pa.RecordBatch]:
+            if not len(linked):
+                continue
+            labels, first = np.unique(label[linked], return_index=True)
+            a.append(np.full(len(first), homes[home]))
+            b.append(members[linked[first]])
+            label[np.isin(label, labels)] = mine[home]
+            mine[np.isin(mine, labels)] = mine[home]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _matched(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
     """Forest of each cell; rows arrive in order of their cell."""
     names = ["part", "anchor", "i", "j"]
     rest: list[pa.RecordBatch] = []
 
     def edges(rows: pa.Table) -> pa.RecordBatch:
         fp = rows["fp"].to_numpy().view(np.uint64)
-        ids = np.stack([rows[c].to_numpy() for c in carried or ["fp", "fp"]], axis=1)
         home, member = rows["home"].to_numpy(), rows["member"].to_numpy()
         keys = np.stack([rows[n].to_numpy().astype(np.int64) for n in names])
         cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
         starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(fp)]])
-        a: list[int] = []
-        b: list[int] = []
-        for s, e in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-            h, m = s + np.flatnonzero(home[s:e]), s + np.flatnonzero(member[s:e])
-            found = forest(fp[h], fp[m], threshold, ids[h], ids[m], every)
-            a += found[0]
-            b += found[1]
-        arrays = [pa.array(x, pa.int64()) for x in (a, b)]
-        return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
+        spans = zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True)
+        found = [forest(fp[s:e][home[s:e]], fp[s:e][member[s:e]], threshold) for s, e in spans]
+        sides = [np.concatenate(x) for x in zip(*found, strict=True)] or [np.zeros(0, dtype=np.uint64)] * 2
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in sides], ["a", "b"])
 
     def key(batch: pa.RecordBatch, row: int) -> list:
         return [batch.column(n)[row].as_py() for n in names]
@@ -339,24 +275,23 @@ def _matched(
         yield edges(pa.Table.from_batches(rest))
 
 
-def links(fps: DataFrame, threshold: int, every: bool = False, turn: int = 0) -> DataFrame:
-    """`a`, `b`: links between rows whose `fp` differ in `threshold` bits or fewer.
+def links(fps: DataFrame, threshold: int) -> DataFrame:
+    """`a`, `b`: links between different fingerprints that differ in `threshold` bits or fewer.
 
     Not all of them (a group of n would have n * n / 2): per cell those of a spanning
-    forest, so that `components` of the result are those of all links. Rows are named by
-    their `fp`, or, if there are columns `key` and `class`, by `key`; rows of one class are
-    not linked. `turn` changes which of the forests is found, `every` asks for all links.
-    Rows with a column `bands` link if they have a band alike, too.
+    forest, so that `components` of the result are those of all links.
     """
-    carried = ["key", "class"] if "key" in fps.columns else []
-    unique = fps.select("fp", *carried).where("fp IS NOT NULL").distinct()
-    cells = _cells(anchored(unique, threshold, carried), carried)
-    if "bands" in fps.columns:
-        cells = cells.unionByName(_cells(_banded(fps, carried), carried, few=False))
+    unique = fps.select("fp").where("fp IS NOT NULL").distinct()
     order = ["part", "anchor", "i", "j"]
-    within = [F.xxhash64(F.lit(turn), "key")] if carried else []
-    laid = cells.repartition(*order).sortWithinPartitions(*order, *within)
-    return laid.mapInArrow(lambda b: _matched(b, threshold, carried, every), "a bigint, b bigint").distinct()
+    laid = _cells(anchored(unique, threshold)).repartition(*order).sortWithinPartitions(*order)
+    return laid.mapInArrow(lambda b: _matched(b, threshold), "a bigint, b bigint").distinct()
+
+
+def _rooted(rows: DataFrame, threshold: int, first: Column) -> DataFrame:
+    """`fp`, `root` (a fingerprint of its group) and the least `first` of the rows with that fingerprint."""
+    found = components(links(rows, threshold)).withColumnRenamed("node", "fp")
+    classes = rows.groupBy("fp").agg(F.min(first).alias("first"))
+    return classes.join(found, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> DataFrame:
@@ -368,11 +303,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> Da
     part, but are no component's name unless all of its ids are NULL. No rows: no rows.
     """
     rows = stored(fingerprints(docs, shingle), "simhash")
-    found = components(links(rows, threshold))
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(rows, threshold, F.col("doc_id"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(of, "fp").select(
@@ -380,95 +311,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> Da
     )
 
 
-# ---- one document of each group ----------------------------------------------
-
+def one_per_group(docs: DataFrame, shingle: int = 4, threshold: int = 4) -> DataFrame:
+    """`docs` with one row of each group of `near_duplicates`, that with the smallest doc_id.
 
-def jaccard(a: str | None, b: str | None, shingle: int) -> float:
-    """Share of the two texts' distinct shingles that both have; 1 if neither has any."""
-    sets = [np.unique(shingles(text, shingle)) for text in (a, b)]
-    both = len(np.intersect1d(*sets, assume_unique=True))
-    return both / total if (total := len(sets[0]) + len(sets[1]) - both) else 1.0
-
-
-def _compared(pairs: DataFrame, bodies: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Adds to pairs of text keys whether the texts are `same`: alike enough."""
-
-    @F.pandas_udf(DoubleType())
-    def likeness(x, y):
-        return x.combine(y, lambda a, b: jaccard(a, b, shingle))
-
-    left = bodies.select(F.col("text_key").alias("a"), F.col("text").alias("text_a"))
-    right = bodies.select(F.col("text_key").alias("b"), F.col("text").alias("text_b"))
-    found = pairs.join(left, "a").join(right, "b")
-    return stored(found.select("a", "b", (likeness("text_a", "text_b") >= similarity).alias("same")), "compared")
-
-
-def _paired(nodes: DataFrame, threshold: int, every: bool = False, turn: int = 0) -> DataFrame:
-    """`links` with the larger key first, each once."""
-    found = links(nodes, threshold, every, turn)
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _alike(nodes: DataFrame, first: DataFrame, bodies: DataFrame, threshold: int, shingle: int, similarity: float) -> DataFrame:
-    """Links between texts that are alike; their components are those of all such links.
-
-    A forest of candidate links (`first`) hides others behind links that turn out to be
-    wrong. Rows around a wrong link are therefore linked anew, in other forests, with the
-    groups confirmed so far as classes, while a quarter of the new links hold; then all
-    candidate links that still lie between two groups are compared, so none is left out.
-    """
-    done = _compared(first, bodies, shingle, similarity)
-    wrong = done.where("NOT same").select(F.col("a").alias("node"))
-    groups = stored(components(first), "groups")
-    mixed = groups.join(wrong, "node", "left_semi").select("root").distinct()
-    doubtful = groups.join(mixed, "root", "left_semi").select(F.col("node").alias("key"))
-    doubtful = stored(nodes.select("fp", "key", "bands").join(doubtful, "key", "left_semi"), "doubtful")
-    if doubtful.isEmpty():
-        return done.where("same").select("a", "b")
-    near, every, turn = threshold // 2, False, 1
-    while True:
-        known = components(done.where("same").select("a", "b")).withColumnRenamed("node", "key")
-        classed = doubtful.join(known, "key", "left").select("fp", "key", "bands", F.coalesce("root", "key").alias("class"))
-        fresh = _paired(stored(classed, "classed"), near, every, turn).join(done, ["a", "b"], "left_anti")
-        fresh = _compared(fresh, bodies, shingle, similarity)
-        done = done.unionByName(fresh)
-        if every:
-            return done.where("same").select("a", "b")
-        tried, held = fresh.agg(F.count(F.lit(1)), F.count_if("same")).first()
-        every = near == threshold and 4 * held <= tried
-        near, turn = threshold, turn + 1
-
-
-def one_per_group(docs: DataFrame, threshold: int = 8, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """`docs` with one row of each group of near copies, that with the smallest doc_id.
-
-    Candidates come from fingerprints over the set of single words, which copies with
-    edited words change little, at `threshold` bits, and from bands of min-hashes of the
-    shingles, which find alike texts wherever they differ; a candidate link counts if the two
-    texts share at least `similarity` of their distinct `shingle`-word shingles. Groups
-    are the components of these links. Equal texts are one group, and so are all texts
-    without words, NULL among them; of repeated rows one stays. Other columns are carried along.
+    Rows without an id come after those with one; of rows with one id that with the smallest
+    hash of its text stays, and of repeated rows one. All columns are carried along, whatever
+    their names. No rows: no rows.
     """
-    rows = stored(fingerprints(docs, 1, distinct=True, banded=shingle), "simhash")
-    texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
-    texts = stored(texts, "texts")
-    nodes = texts.select("fp", "bands", F.col("text_key").alias("key"), F.col("text_key").alias("class"))
-    pairs = stored(_paired(nodes, threshold), "pairs")
-
-    wanted = pairs.select(F.col("a").alias("text_key")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(texts, "text_key").select("text_key", F.col("first").alias("doc_id"))
-    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (keyed["text_key"] == wanted["text_key"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"])
-    bodies = keyed.join(wanted, same, "left_semi").select("text_key", "text").dropDuplicates(["text_key"])
-    bodies = stored(bodies, "bodies")
-
-    found = components(_alike(nodes, pairs, bodies, threshold, shingle, similarity))
-    rooted = texts.join(found.withColumnRenamed("node", "text_key"), "text_key", "left").select(
-        "text_key", "first", F.coalesce("root", "text_key").alias("root")
-    )
-    best = F.min(F.struct(F.col("first").isNull().alias("no_id"), "first", "text_key")).alias("best")
-    kept = rooted.groupBy("root").agg(best).select(F.col("best.first").alias(KEEP[0]), F.col("best.text_key").alias(KEEP[1]))
+    rows = stored(fingerprints(docs, shingle), "simhash")
+    rooted = _rooted(rows, threshold, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    best = rooted.groupBy("root").agg(F.min("first").alias("best"))
+    names = free_names(docs, "kept_id", "kept_text")
+    kept = best.select(F.col("best.doc_id").alias(names[0]), F.col("best.text_key").alias(names[1]))
     kept = stored(kept, "kept")
     own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept[KEEP[0]]) & (own == kept[KEEP[1]]))
-    return stays.dropDuplicates(KEEP).select(*[docs[c] for c in docs.columns])
+    stays = docs.join(kept, docs["doc_id"].eqNullSafe(kept[names[0]]) & (own == kept[names[1]]))
+    return stays.dropDuplicates(names).select(*[docs[c] for c in docs.columns])
