@@ -113,6 +113,35 @@ def test_word_tokenizer_is_the_library():
         assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_forgotten_and_found_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokenfile, "KNOWN_WORDS", 5)
+    with open(corpus_pipeline.vocabulary(), encoding="utf-8") as file:
+        model = file.read()
+    library, own = Tokenizer.from_str(model), tokenfile.WordTokenizer(model)
+    texts = ["The the, THE. $$$ a_b-c [x]", "antionon&&& haerou$$$ ***", None, "it's it' ''s 's x'", "Été!! ÉTÉ ß<|endoftext|>", "<|endoftext|> &amp; ~`@"] * 2
+    found = [np.frombuffer(x, dtype="<u4").tolist() for x in own.all(texts)]
+    again = [np.frombuffer(own.ids(t), dtype="<u4").tolist() for t in texts]
+    assert found == again == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(own.known) <= 20
+
+
+def test_other_vocabularies_take_whole_texts():
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(corpus_pipeline.vocabulary(), encoding="utf-8") as file:
+        parts = json.load(file)
+    parts["normalizer"]["normalizers"].pop()  # letters keep their case
+    model = json.dumps(parts)
+    own = tokenfile.WordTokenizer(model)
+    assert not own.by_words
+    text = "Upper and lower, Été"
+    assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == Tokenizer.from_str(model).encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(max_size=300), st.integers(1, 50))
 def test_chunked_round_trip(payload, size):

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -135,75 +136,104 @@ def symbols(freq: np.ndarray) -> np.ndarray:
 # ---- tokens ------------------------------------------------------------------
 
 
-#: Words (of two generations) and pieces of words that a worker process remembers.
-KNOWN_WORDS = 500_000
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]*)")
-
-
-class _Known:
-    """Ids of words, found when first asked for; the oldest half goes when full."""
-
-    def __init__(self, find):
-        self.find, self.new, self.old = find, {}, {}
-
-    def all(self, parts: list) -> list[bytes]:
-        found = list(map(self.new.get, parts))
-        if None in found:
-            found = [self.one(p) if ids is None else ids for p, ids in zip(parts, found, strict=True)]
-            if len(self.new) > KNOWN_WORDS // 2:
-                self.old, self.new = self.new, {}
-        return found
-
-    def one(self, part) -> bytes:
-        ids = self.new.get(part) or self.old.get(part)
-        self.new[part] = ids = self.find(part) if ids is None else ids
-        return ids
+#: Words that a worker process remembers, beside those of the texts at hand.
+KNOWN_WORDS = 1_000_000
+_CHUNK = 1 << 21  # bytes of text after which words are looked up
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")  # of ASCII, without the apostrophe, which starts endings
+_LISTED = re.compile(f"([{_LATIN}]*)([{_MARKS}]*)\n|(.*)\n")  # a word to a line
+#: What a vocabulary file must say for texts to be encoded word by word: white space ends
+#: words and is dropped, and letters are lower-cased. Fixed values of the file format.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_SPLITTERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def by_words(model: str) -> bool:
+    """Whether a vocabulary's texts may be encoded word by word."""
+    parts = json.loads(model)
+    steps = [(parts.get(kind) or {}).get(name) for kind, name in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+    return steps == [_NORMALIZERS, _SPLITTERS] and parts["model"]["type"] == "BPE"
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordTokenizer:
-    """Ids of whole texts, for vocabularies that drop white space and never merge over it.
+    """Ids of whole texts.
 
-    Each distinct word goes through the library once while it is remembered. Words of
-    Latin letters and plain punctuation go straight to the library's merges (its
-    normaliser and splitter only lower-case such words); all others through all of it.
+    Vocabularies that drop white space and never merge over it (`by_words`) are encoded by
+    distinct words, each of which goes through the library once while it is remembered. Words
+    of Latin letters before ASCII punctuation go straight to the library's merges (its normaliser
+    and splitter only lower-case such words), all others through all of it. With any other
+    vocabulary, whole texts go through the library.
     """
 
     def __init__(self, model: str):
         import tokenizers
 
         self.full = tokenizers.Tokenizer.from_str(model)
-        self.merges = self.full.model
-        latin = [chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
-        split = self.full.pre_tokenizer.pre_tokenize_str
-        self.bytes = str.maketrans({c: split(c)[0][0] for c in latin})
-        # a task unpickles this module anew, while the library's lasts as long as the worker
-        kept = vars(tokenizers).setdefault("_words_with_ids", {})
-        key = zlib.crc32(model.encode())
-        self.known, self.pieces = kept.setdefault(key, (_Known(self._word), _Known(self._piece)))
-
-    def _piece(self, text: str) -> bytes:
-        """Ids of a run of letters or of punctuation."""
-        plain = text if text.isascii() else text.translate(self.bytes)
-        ids = [t.id for t in self.merges.tokenize(plain)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _word(self, utf8: bytes) -> bytes:
-        word = utf8.decode("utf-8", "surrogatepass")
-        plain = _PLAIN.fullmatch(word)
-        if plain:
-            letters, marks = plain.groups()
-            ids = self.pieces.one(letters.lower())
-            return ids + self.pieces.one(marks) if marks else ids
-        ids = self.full.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.by_words = by_words(model)
+        if self.by_words:
+            latin = [chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
+            split = self.full.pre_tokenizer.pre_tokenize_str
+            self.bytes = str.maketrans({c: split(c)[0][0] for c in latin})
+            # a task unpickles this module anew, while the library's lasts as long as the worker
+            kept = vars(tokenizers).setdefault("_words_with_ids", {})
+            self.known, self.pieces = kept.setdefault(zlib.crc32(model.encode()), (self.known, self.pieces))
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.full.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of all words that are not known; beyond `KNOWN_WORDS` others are forgotten."""
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            held = {w: self.known[w] for w in words.intersection(self.known)}
+            self.known.clear()
+            self.known.update(held)
+        # no word holds a line end: words were split there
+        listed = _LISTED.findall(b"\n".join([*new, b""]).decode("utf-8", "surrogatepass"))
+        lower = [letters.lower() for letters, _, _ in listed]
+        wanted = {*lower, *(marks for _, marks, _ in listed)}
+        if len(self.pieces) + len(wanted) > KNOWN_WORDS:
+            held = {p: self.pieces[p] for p in wanted.intersection(self.pieces)}
+            self.pieces.clear()
+            self.pieces.update(held)
+        merges, pieces = self.full.model.tokenize, self.pieces
+        for piece in wanted.difference(pieces):
+            plain = piece if piece.isascii() else piece.translate(self.bytes)
+            pieces[piece] = _packed([t.id for t in merges(plain)]) if plain else b""
+        for word, letters, (_, marks, other) in zip(new, lower, listed, strict=True):
+            # joining with nothing makes no new object
+            self.known[word] = self._whole(other) if other else pieces[letters] + pieces[marks]
+
+    def all(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        if not self.by_words:
+            return [self._whole(t or "") for t in texts]
+        # bytes split at the six white-space characters of ASCII; others are the library's
+        parts = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        self._learn(set().union(*parts))
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, words)) for words in parts]
 
     def ids(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        # bytes split at the six white-space characters of ASCII; others are the library's
-        parts = (text or "").encode("utf-8", "surrogatepass").split()
-        if len(self.pieces.new) > KNOWN_WORDS // 2:
-            self.pieces.old, self.pieces.new = self.pieces.new, {}
-        return b"".join(self.known.all(parts))
+        return self.all([text])[0]
 
 
 _END = struct.pack("<I", END_ID)
@@ -256,13 +286,18 @@ def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
 
         for batch in batches:
             ids_type = batch.column(0).type
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                owners.append(doc_id.as_py())
-                held.append(tokenizer.ids(text.as_py()) + _END)
-                size += len(held[-1]) // 4
-                if size >= BLOCK:
-                    yield block()
-                    first, size, owners, held = first + size, 0, [], []
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff(sizes // _CHUNK)) + 1
+            for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                rows = batch.slice(at, end - at)
+                coded = tokenizer.all(rows.column(1).to_pylist())
+                for doc_id, ids in zip(rows.column(0).to_pylist(), coded, strict=True):
+                    owners.append(doc_id)
+                    held.append(ids + _END)
+                    size += len(held[-1]) // 4
+                    if size >= BLOCK:
+                        yield block()
+                        first, size, owners, held = first + size, 0, [], []
         if held:
             yield block()
 
