@@ -300,6 +300,18 @@ def test_near_dedup_keeps_columns_named_like_its_own(spark):
     assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
 
 
+def test_stages_keep_columns_named_like_their_own(spark):
+    names = ["language", "_language", "_mix_key", "_mix_copy", "_mix_copies", "_mix_order", "_mix_source", "row", "kept_text"]
+    docs = documents(spark, [(1, "one cat sat"), (2, "two dogs ran"), (2, "two dogs ran"), (None, None)]).select("doc_id", "text", "lang", "source")
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS {n}" for n in names])
+    before = sorted(map(tuple, docs.collect()), key=repr)
+    told = langid.recognised(docs, least=0.0)
+    assert told.columns == docs.columns and sorted(map(tuple, told.collect()), key=repr) == [r for r in before if r[1]]
+    mixed = mixing.shuffled(docs)
+    assert mixed.columns == docs.columns and set(map(tuple, mixed.collect())) <= set(before)
+    assert mixing.shuffled(docs.limit(0)).count() == 0
+
+
 def test_a_forest_has_fewer_links_than_fingerprints():
     values = np.arange(16, dtype=np.uint64)  # all pairs differ in 4 bits at most
     a, b = simhash.forest(values, values, 4)

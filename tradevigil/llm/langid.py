@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradevigil.llm.store import remainder, stored
+from tradevigil.llm.store import free_names, remainder, stored
 
 #: The training sample: at most so many documents per language, those of smallest hash.
 DOCS_PER_LANGUAGE = 2500
@@ -179,5 +179,6 @@ def report(docs: DataFrame) -> DataFrame:
 def recognised(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of `docs` in some language with a score of at least `least`; all columns are kept."""
     found = identified(docs.sparkSession, fit(docs), F.col("text"))
-    rows = docs.withColumn("_language", found)
-    return rows.where((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least)).select(*docs.columns)
+    (name,) = free_names(docs, "language")
+    rows = docs.withColumn(name, found)
+    return rows.where((F.col(name)["lang_pred"] != UNKNOWN) & (F.col(name)["score"] >= least)).select(*docs.columns)

@@ -77,6 +77,7 @@ def _uniform(text: Column) -> Column:
 def replicated(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """`docs`, each row as often as drawn, with `_mix_copy` (from 1), `_mix_copies` and `_mix_order` (hex).
 
+    `docs` has no column of a name that starts with `_mix_` (see `shuffled` for any names).
     A document drawn 0 times is left out: that is the method. Rates come from all rows.
     Repeated rows are drawn alike. NULL text is empty; no rows: no rows. The rates are
     stored and joined by their measured size, so a hot source needs no shuffle.
@@ -100,9 +101,14 @@ def replicated(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
 
 
 def shuffled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """The drawn rows with the columns of `docs`, in their shuffled order over all partitions."""
-    rows = replicated(docs, targets)
-    return rows.repartitionByRange("_mix_order", "doc_id").sortWithinPartitions("_mix_order", "doc_id").select(*docs.columns)
+    """The drawn rows with the columns of `docs`, in their shuffled order over all partitions.
+
+    Rows travel as one column, so `docs` may have columns of any name. NULLs, repeated rows and
+    no rows as in `replicated`.
+    """
+    packed = docs.select("doc_id", "text", "source", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = replicated(packed, targets).repartitionByRange("_mix_order", "doc_id")
+    return rows.sortWithinPartitions("_mix_order", "doc_id").select("row.*")
 
 
 def numbered(rows: DataFrame) -> DataFrame:
