@@ -410,6 +410,14 @@ def test_every_offending_sentence_is_located(spark):
     assert got[2]["offending"] == [] and got[3]["offending"] == []
 
 
+def test_the_query_hands_out_offending_sentences(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: toxicity.Model({"<grobian>": 8.0}, -4.0, 0.1))
+    text = "All is well. You grobian. Fine days. A grobian again! Quiet"
+    rows = toxicity.report(documents(spark, [(1, text), (2, "Fine days."), (3, None)]), labels(spark, [])).collect()
+    found = {r["doc_id"]: r["offending_at"] for r in rows}
+    assert found == {1: f"{text.index(' You')},{text.index(' A grobian')}", 2: "", 3: ""}
+
+
 def test_unseen_words_fall_back():
     rows = [("de", "schule schulen haus"), ("en", "school schools house")]
     import pandas as pd

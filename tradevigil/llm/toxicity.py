@@ -247,7 +247,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The columns of `op5_toxicity`, and the place and score of each text's worst sentence.
+    """The columns of `op5_toxicity`, the place and score of each text's worst sentence, and, as
+    `offending_at`, the places of all offending ones, comma-joined (none: empty).
 
     NULL, empty and wordless texts get the share of label 1 among the training documents.
     Without labels, or with labels of one kind, all texts get about that share.
@@ -259,4 +260,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
         "worst_at",
         "worst_score",
+        F.array_join(F.transform("offending", lambda o: o["start"].cast("string")), ",").alias("offending_at"),
     )
