@@ -14,15 +14,17 @@ rows of Parquet files, beside the ids and lengths of their documents. A block's
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -136,12 +138,13 @@ def symbols(freq: np.ndarray) -> np.ndarray:
 # ---- tokens ------------------------------------------------------------------
 
 
-#: Words that a worker process remembers, beside those of the texts at hand.
+#: Words that a worker process remembers; with one more it starts afresh.
 KNOWN_WORDS = 1_000_000
-_CHUNK = 1 << 21  # bytes of text after which words are looked up
-_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-_MARKS = re.escape("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")  # of ASCII, without the apostrophe, which starts endings
-_LISTED = re.compile(f"([{_LATIN}]*)([{_MARKS}]*)\n|(.*)\n")  # a word to a line
+_KEPT = "tradevigil_kept_tokenizers"
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # of ASCII, without the apostrophe, which starts endings
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_ADDED = re.compile(r"([!-&(-/:-@\[-`{-~]+)\S*[A-Za-z]\S*")  # an added token that is never part of letters, or of marks after them
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: What a vocabulary file must say for texts to be encoded word by word: white space ends
 #: words and is dropped, and letters are lower-cased. Fixed values of the file format.
 _NORMALIZERS = [
@@ -164,20 +167,54 @@ def by_words(model: str) -> bool:
     """Whether a vocabulary's texts may be encoded word by word."""
     parts = json.loads(model)
     steps = [(parts.get(kind) or {}).get(name) for kind, name in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
-    return steps == [_NORMALIZERS, _SPLITTERS] and parts["model"]["type"] == "BPE"
+    added = all(_ADDED.fullmatch(token["content"]) for token in parts.get("added_tokens") or [])
+    return steps == [_NORMALIZERS, _SPLITTERS] and parts["model"]["type"] == "BPE" and added
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _latin(word: bytes) -> bool:
+    return not word.isascii() and bool(_LATIN.fullmatch(word.decode("utf-8", "surrogatepass")))
+
+
+class WordIds(dict[bytes, bytes]):
+    """Packed ids of words between white space; a word not held yet is looked up when asked for.
+
+    Words of Latin letters, and runs of ASCII punctuation, go straight to the library's merges
+    (its normaliser and splitter only lower-case such words), all others through all of it.
+    """
+
+    def __init__(self, full, packed: list[bytes]):
+        super().__init__()
+        self.full, self.merges, self.packed = full, full.model.tokenize, packed
+        latin = [chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
+        self.bytes = str.maketrans({c: full.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in latin})
+
+    def __missing__(self, word: bytes) -> bytes:
+        letters = word.rstrip(_MARKS)
+        if letters and letters != word and (letters.isalnum() or _latin(letters)):
+            # a letter or digit and a mark are never in one piece
+            ids = self[letters] + self[word[len(letters) :]]
+        elif not letters or word.isalpha():
+            ids = self._merged(word.lower().decode("ascii"))
+        elif _latin(word):
+            ids = self._merged(word.decode("utf-8").lower().translate(self.bytes))
+        else:
+            text = word.decode("utf-8", "surrogatepass")
+            ids = b"".join([self.packed[i] for i in self.full.encode(text, add_special_tokens=False).ids])
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def _merged(self, piece: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.merges(piece)])
 
 
 class WordTokenizer:
     """Ids of whole texts.
 
-    Vocabularies that drop white space and never merge over it (`by_words`) are encoded by
-    distinct words, each of which goes through the library once while it is remembered. Words
-    of Latin letters before ASCII punctuation go straight to the library's merges (its normaliser
-    and splitter only lower-case such words), all others through all of it. With any other
+    Vocabularies that drop white space and never merge over it (`by_words`) are encoded word
+    by word, each of which goes through the library once while it is remembered. With any other
     vocabulary, whole texts go through the library.
     """
 
@@ -185,55 +222,34 @@ class WordTokenizer:
         import tokenizers
 
         self.full = tokenizers.Tokenizer.from_str(model)
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.by_words = by_words(model)
-        if self.by_words:
-            latin = [chr(c) for c in [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
-            split = self.full.pre_tokenizer.pre_tokenize_str
-            self.bytes = str.maketrans({c: split(c)[0][0] for c in latin})
-            # a task unpickles this module anew, while the library's lasts as long as the worker
-            kept = vars(tokenizers).setdefault("_words_with_ids", {})
-            self.known, self.pieces = kept.setdefault(zlib.crc32(model.encode()), (self.known, self.pieces))
-
-    def _whole(self, text: str) -> bytes:
-        return _packed(self.full.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Ids of all words that are not known; beyond `KNOWN_WORDS` others are forgotten."""
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            held = {w: self.known[w] for w in words.intersection(self.known)}
-            self.known.clear()
-            self.known.update(held)
-        # no word holds a line end: words were split there
-        listed = _LISTED.findall(b"\n".join([*new, b""]).decode("utf-8", "surrogatepass"))
-        lower = [letters.lower() for letters, _, _ in listed]
-        wanted = {*lower, *(marks for _, marks, _ in listed)}
-        if len(self.pieces) + len(wanted) > KNOWN_WORDS:
-            held = {p: self.pieces[p] for p in wanted.intersection(self.pieces)}
-            self.pieces.clear()
-            self.pieces.update(held)
-        merges, pieces = self.full.model.tokenize, self.pieces
-        for piece in wanted.difference(pieces):
-            plain = piece if piece.isascii() else piece.translate(self.bytes)
-            pieces[piece] = _packed([t.id for t in merges(plain)]) if plain else b""
-        for word, letters, (_, marks, other) in zip(new, lower, listed, strict=True):
-            # joining with nothing makes no new object
-            self.known[word] = self._whole(other) if other else pieces[letters] + pieces[marks]
-
-    def all(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if not self.by_words:
-            return [self._whole(t or "") for t in texts]
+        self.packed = [struct.pack("<I", i) for i in range(self.full.get_vocab_size())]
+        self.known = WordIds(self.full, self.packed) if by_words(model) else None
+        # case is kept before marks that the library composes with letters, U+0300 to U+036F, and in added tokens
+        leads = {_ADDED.fullmatch(t.content)[1] for t in self.full.get_added_tokens_decoder().values()} if self.known is not None else ()
+        self.cased = [b"\xcc", b"\xcd", *(lead.encode() for lead in sorted(leads))]
+
+    def of_bytes(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text in UTF-8."""
+        if self.known is None:
+            ids = self.full.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+            return b"".join([self.packed[i] for i in ids])
+        if not any(lead in text for lead in self.cased):
+            text = text.translate(_LOWER)  # the library does so anyway; fewer words differ
         # bytes split at the six white-space characters of ASCII; others are the library's
-        parts = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        self._learn(set().union(*parts))
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in parts]
+        return b"".join(map(self.known.__getitem__, text.split()))
 
     def ids(self, text: str | None) -> bytes:
-        return self.all([text])[0]
+        return self.of_bytes((text or "").encode("utf-8", "surrogatepass"))
+
+
+def tokenizer_of(model: str) -> WordTokenizer:
+    """The tokenizer of a worker process, kept with its words from task to task."""
+    # a task may unpickle this module anew, while a module of its own name lasts as long as the worker
+    kept = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
+    key = hashlib.sha256(model.encode()).hexdigest()
+    if key not in kept:
+        kept[key] = WordTokenizer(model)
+    return kept[key]
 
 
 _END = struct.pack("<I", END_ID)
@@ -272,7 +288,7 @@ def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
     columns = ["part", "first_id", "n_ids", "doc_ids", "lengths", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, first = WordTokenizer(model.value), TaskContext.get().partitionId(), 0
+        tokenizer, part, first = tokenizer_of(model.value), TaskContext.get().partitionId(), 0
         owners: list = []
         held: list[bytes] = []
         size, ids_type = 0, pa.null()
@@ -286,18 +302,13 @@ def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
 
         for batch in batches:
             ids_type = batch.column(0).type
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
-            cuts = np.flatnonzero(np.diff(sizes // _CHUNK)) + 1
-            for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                rows = batch.slice(at, end - at)
-                coded = tokenizer.all(rows.column(1).to_pylist())
-                for doc_id, ids in zip(rows.column(0).to_pylist(), coded, strict=True):
-                    owners.append(doc_id)
-                    held.append(ids + _END)
-                    size += len(held[-1]) // 4
-                    if size >= BLOCK:
-                        yield block()
-                        first, size, owners, held = first + size, 0, [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                owners.append(doc_id)
+                held.append(tokenizer.of_bytes(text.as_py() or b"") + _END)
+                size += len(held[-1]) // 4
+                if size >= BLOCK:
+                    yield block()
+                    first, size, owners, held = first + size, 0, [], []
         if held:
             yield block()
 
