@@ -7,7 +7,10 @@ are placed in their templates and chained, in order on both sides, into covered
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from tradevigil.llm import words
 
 #: Shortest run that is placed, largest gap in a chain (document words), and the share of a
-#: template that a chain must cover for its label.
+#: template, by weight of its words, that a chain must cover for its label.
 LEAST_RUN, MOST_GAP, COVERED = 3, 40, 0.6
 
 #: Phrases that always label; fixed values.
@@ -76,6 +79,7 @@ class Automaton:
     """Generalised suffix automaton over sequences of small integers."""
 
     def __init__(self, sequences: list[list[int]]):
+        self.sequences = sequences
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         for sequence in sequences:
@@ -91,6 +95,7 @@ class Automaton:
                 while up > 0:
                     self.ends[up].append((number, place))
                     up = self.link[up]
+        self._ended: dict[tuple[int, int | None, int], list[tuple[int, int, int]]] = {}
 
     def _state(self, length: int, follow: dict[int, int], link: int) -> int:
         self.next.append(follow)
@@ -142,6 +147,41 @@ class Automaton:
             yield before - length + 1, length, state
 
 
+    def ended(self, state: int, symbol: int | None, least: int) -> list[tuple[int, int, int]]:
+        """Sequence, past-the-last place in it and length (0: the whole run) of each run of at
+        least `least` that ends a run of this state and does not go on with `symbol` there."""
+        found = self._ended.get((state, symbol, least))
+        if found is None:
+            found, seen, up = [], set(), state
+            while up > 0 and self.length[up] >= least:
+                for number, place in self.ends[up]:
+                    own = self.sequences[number]
+                    if (number, place) not in seen and (symbol is None or place == len(own) or own[place] != symbol):
+                        found.append((number, place, 0 if up == state else self.length[up]))
+                    seen.add((number, place))
+                up = self.link[up]
+            self._ended[state, symbol, least] = found
+        return found
+
+    def placed(self, symbols: list[int], places: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
+        """Sequence, start in the text, length and start in the sequence of each run of at least
+        `least` that cannot go on in that sequence on either side, also where it goes on in another."""
+        state = length = 0
+        before = -2
+        for symbol, place in zip([*symbols, None], [*places, -1], strict=True):
+            joined = place == before + 1
+            if length >= least:
+                for number, end, n in self.ended(state, symbol if joined else None, least):
+                    n = n or length
+                    yield number, before - n + 1, n, end - n
+            s, n = (state, length) if joined else (0, 0)
+            while s and symbol not in self.next[s]:
+                s = self.link[s]
+                n = self.length[s]
+            to = self.next[s].get(symbol)
+            state, length, before = (to, n + 1, place) if to is not None else (0, 0, place)
+
+
 class Scanner:
     """Spans of templates, and places of phrases, in whole texts."""
 
@@ -151,13 +191,17 @@ class Scanner:
         known = {w for p in parts for w in p} | {w for p, _ in wanted for w in p}
         self.codes = {w: i for i, w in enumerate(sorted(known))}
         self.labels = [label for label, _ in templates]
-        self.sizes = [len(p) for p in parts]
+        own = Counter(w for p in parts for w in set(p))
+        weights = {w: round(1000 * log(1 + len(parts) / n)) for w, n in own.items()}
+        #: weight of the words before each place of a template
+        self.weights = [[0, *accumulate(weights[w] for w in p)] for p in parts]
         self.automaton = Automaton([[self.codes[w] for w in p] for p in parts])
         self.phrases = [([self.codes[w] for w in p], label) for p, label in wanted]
 
     def scan(self, text: str | None) -> tuple[int, list[int], set[str], list[tuple[str, int, int, float]]]:
         """Number of words; starts and labels of phrases; label, first and past-the-last word
-        and covered share of each template's chains: the best, and all others that reach `COVERED`."""
+        and covered share of each template's chains: the best, and all others that reach `COVERED`,
+        but for those inside a fuller span of another label."""
         parts = words.split(text, words.ALNUM)
         codes = np.fromiter((self.codes.get(w, -1) for w in parts), dtype=np.int64, count=len(parts))
         starts, labels = [], set()
@@ -170,25 +214,37 @@ class Scanner:
                 labels.add(label)
         places = np.flatnonzero(codes >= 0)
         placed: dict[int, list[tuple[int, int, int]]] = {}
-        for start, n, state in self.automaton.runs(codes[places].tolist(), places.tolist(), LEAST_RUN):
-            for template, end in self.automaton.ends[state]:
-                placed.setdefault(template, []).append((start, n, end - n))
-        spans = [(self.labels[t], *chain) for t, hits in sorted(placed.items()) for chain in _chains(hits, self.sizes[t])]
-        return len(parts), starts, labels, spans
-
-
-def _chains(hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, float]]:
+        for template, start, n, at in self.automaton.placed(codes[places].tolist(), places.tolist(), LEAST_RUN):
+            placed.setdefault(template, []).append((start, n, at))
+        spans = [(t, *chain) for t, hits in sorted(placed.items()) for chain in _chains(hits, self.weights[t])]
+        return len(parts), starts, labels, [(self.labels[t], *rest) for t, *rest in self._told_apart(spans)]
+
+    def _told_apart(self, spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+        """All but spans that lie inside one of another label which covers more of its template:
+        templates share words, and the fuller match explains them."""
+        kept, last = [], {}  # last: per template its full span that reaches furthest so far
+        for span in sorted(spans, key=lambda s: (s[1], -s[2], -s[3])):
+            t, _, end, covered = span
+            if not any(e >= end and c > covered and self.labels[o] != self.labels[t] for o, (e, c) in last.items()):
+                kept.append(span)
+            if covered >= COVERED and end > last.get(t, (0, 0))[0]:
+                last[t] = end, covered
+        return sorted(kept)
+
+
+def _chains(hits: list[tuple[int, int, int]], weights: list[int]) -> list[tuple[int, int, float]]:
     """First and past-the-last document word, and covered share, of the best chain and of all
     others that reach `COVERED`, in order of the document.
 
     `hits`: start in the document, length, start in the template. A chain goes on in both,
     over gaps of at most `MOST_GAP` document words; of equal chains the first wins. Chains
-    share no word: further ones are built of the hits outside those found.
+    share no word: further ones are built of the hits outside those found. A word's share is by
+    its weight in the template, which is larger the fewer templates have it.
     """
-    hits = sorted(hits)
+    hits, size = sorted(hits), weights[-1]
     found: list[tuple[int, int, float]] = []
     while hits:
-        best = _linked(hits, size)
+        best = _linked(hits, weights)
         origin = hits[0][0]
         taken = bytearray(max(s + n for s, n, _ in hits) - origin)
         before = len(found)
@@ -210,18 +266,19 @@ def _chains(hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int,
     return sorted(found)
 
 
-def _linked(hits: list[tuple[int, int, int]], size: int) -> list[tuple[int, int]]:
-    """Words covered by the best chain that ends with each hit, and the hit before it or -1."""
+def _linked(hits: list[tuple[int, int, int]], weights: list[int]) -> list[tuple[int, int]]:
+    """Weight covered by the best chain that ends with each hit, and the hit before it or -1."""
     best: list[tuple[int, int]] = []
-    low = 0
+    low, size = 0, len(weights) - 1
     for i, (start, n, at) in enumerate(hits):
+        own = weights[at + n] - weights[at]
         while hits[low][0] + size + MOST_GAP < start:
             low += 1
-        covered, last = n, -1
+        covered, last = own, -1
         for j in range(low, i):
             s, m, a = hits[j]
-            if s + m <= start <= s + m + MOST_GAP and a + m <= at and best[j][0] + n > covered:
-                covered, last = best[j][0] + n, j
+            if s + m <= start <= s + m + MOST_GAP and a + m <= at and best[j][0] + own > covered:
+                covered, last = best[j][0] + own, j
         best.append((covered, last))
     return best
 
