@@ -1,6 +1,8 @@
 """Operators on hand-made rows: NULLs, empty and long texts, ties, repeats, no rows, extra columns."""
 
+import itertools
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -109,7 +111,7 @@ def test_word_tokenizer_is_the_library():
     with open(corpus_pipeline.vocabulary(), encoding="utf-8") as file:
         model = file.read()
     library, own = Tokenizer.from_str(model), tokenfile.WordTokenizer(model)
-    for text in ["Aİb, K Å ẞß 'sdon't it's", "x <|endoftext|>a b c d\x1ce\x85f", "ÀÉ... naïve.Été,été 1a2b ½ǅ", "日本 한국 |.,;", ""]:
+    for text in ["Aİb, K Å ẞß 'sdon't it's", "x <|endoftext|>a b c d\x1ce\x85f", "ÀÉ... naïve.Été,été 1a2b ½ǅ", "日本 한국 |.,;", "", "<|ENDOFTEXT|> <|endoftext|>, H\u0331i, H\u0331 I\u0307 É\u0331. 12, 3a, été'. ´a", "×÷ a×b, é×. a\u2003b, µm ªº ÿŸ"]:
         assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
@@ -121,10 +123,10 @@ def test_words_are_forgotten_and_found_again(monkeypatch):
         model = file.read()
     library, own = Tokenizer.from_str(model), tokenfile.WordTokenizer(model)
     texts = ["The the, THE. $$$ a_b-c [x]", "antionon&&& haerou$$$ ***", None, "it's it' ''s 's x'", "Été!! ÉTÉ ß<|endoftext|>", "<|endoftext|> &amp; ~`@"] * 2
-    found = [np.frombuffer(x, dtype="<u4").tolist() for x in own.all(texts)]
+    found = [np.frombuffer(own.ids(t), dtype="<u4").tolist() for t in texts]
     again = [np.frombuffer(own.ids(t), dtype="<u4").tolist() for t in texts]
     assert found == again == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert len(own.known) <= 20
+    assert len(own.known) <= 5 + 2  # letters and marks of the last word go before it
 
 
 def test_other_vocabularies_take_whole_texts():
@@ -137,7 +139,7 @@ def test_other_vocabularies_take_whole_texts():
     parts["normalizer"]["normalizers"].pop()  # letters keep their case
     model = json.dumps(parts)
     own = tokenfile.WordTokenizer(model)
-    assert not own.by_words
+    assert own.known is None
     text = "Upper and lower, Été"
     assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == Tokenizer.from_str(model).encode(text, add_special_tokens=False).ids
 
@@ -199,6 +201,58 @@ def test_matching_statistics(templates, text):
         assert set(automaton.ends[state]) == places
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=12), min_size=1, max_size=4), st.lists(st.integers(0, 4), max_size=25))
+def test_runs_are_placed_in_every_template(templates, text):
+    """All common runs that go on neither to the left nor to the right; 4 is in no template."""
+    want = set()
+    for t, own in enumerate(templates):
+        for i in range(len(text)):
+            for j in range(len(own)):
+                if i and j and text[i - 1] == own[j - 1]:
+                    continue
+                n = 0
+                while i + n < len(text) and j + n < len(own) and text[i + n] == own[j + n]:
+                    n += 1
+                if n >= 2:
+                    want.add((t, i, n, j))
+    known = [(c, i) for i, c in enumerate(text) if c < 4]
+    found = list(licences.Automaton(templates).placed([c for c, _ in known], [i for _, i in known], 2))
+    assert len(found) == len(set(found)) and set(found) == want
+
+
+def chained(hits, weights, gap):
+    """Weight of the best chain, by trying all of them."""
+    best = 0
+    for k in range(1, len(hits) + 1):
+        for chain in itertools.combinations(sorted(hits), k):
+            pairs = itertools.pairwise(chain)
+            if all(s + n <= t <= s + n + gap and a + n <= b for (s, n, a), (t, _, b) in pairs):
+                best = max(best, sum(weights[a + n] - weights[a] for _, n, a in chain))
+    return best
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 70), st.integers(1, 3), st.integers(0, 5)), min_size=1, max_size=7, unique=True), st.lists(st.integers(1, 9), min_size=8, max_size=8))
+def test_the_best_chain_is_the_best_of_all(hits, own):
+    weights = [0, *itertools.accumulate(own)]
+    found = licences._chains(hits, weights)
+    assert max(c for *_, c in found) == chained(hits, weights, licences.MOST_GAP) / weights[-1]
+
+
+@pytest.mark.parametrize("text", ["The film was released under the title Golden Days.", "Released under the GPL", "Released under the BSD License", "licensed under the terms of a lease"])
+def test_common_words_are_no_licence(text):
+    scanner = licences.Scanner(licences.TEMPLATES, licences.PHRASES)
+    assert all(covered < licences.COVERED for *_, covered in scanner.scan(text)[3])
+
+
+def test_a_fuller_match_explains_shared_words():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.PHRASES)
+    for label, notice in licences.TEMPLATES[-3:]:
+        found = scanner.scan(f"Words before. {notice}. And words after, licensed under nothing.")[3]
+        assert [s[0] for s in found if s[3] >= licences.COVERED] == [label]
+
+
 def test_licence_with_gaps():
     scanner = licences.Scanner(licences.TEMPLATES, licences.PHRASES)
     text = licences.TEMPLATES[1][1].replace("furnished", "given and delivered").replace("sublicense", "lend")
@@ -376,6 +430,43 @@ def test_sample_pages_without_their_tags(sample_pages):
     assert all(b.endswith(a) and a for a, b in zip(bare, named, strict=True))
 
 
+_BODY = "<p>" + "</p><p>".join(f"This is sentence {i} of the article, and it goes on for some time." for i in range(8)) + "</p>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="elementor-widget elementor-widget-text-editor">%s</div>',
+        '<div class="content no-sidebar">%s</div>',
+        '<div class="social-science">%s</div>',
+        '<form id="aspnetForm"><nav>Menu of it</nav>%s<footer>Footer of it</footer></form>',
+        '<div class="widget"><div class="social">%s<div class="comments"><p>A reader comments at some length on it.</div></div></div>',
+        '<div>%s</div><section class="comments">' + _BODY * 3 + "</section>",
+        '<article>%s</article><div class="promo">' + _BODY * 3 + "</div>",
+    ],
+)
+def test_names_do_not_drop_most_of_a_page(around):
+    """What holds most of the text stays; comments, and what stands outside of the article, do not."""
+    assert maintext.main_text(around.replace("%s", _BODY)) == maintext.main_text(_BODY) != ""
+
+
+@pytest.mark.parametrize("unit", ['<b " ', "x<a y ", "<b>", "<i \"'>", "<script ", "<div class=widget>x", "<! ", "</script "])
+def test_open_tags_take_linear_time(unit):
+    began = time.process_time()
+    maintext.main_text(unit * 20_000 + "</i>" * 20_000)
+    assert time.process_time() - began < 10
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>\"'ab =/", max_size=40))
+def test_tags_end_where_the_plain_pattern_ends(page):
+    """Also after a quote that stays open, from where on ends are looked up."""
+    plain = re.compile(r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>")
+    ends = maintext._Ends(page)
+    for at in range(len(page)):
+        assert ends.after(at) == (m.end() if (m := plain.match(page, at)) else -1)
+
+
 def test_main_text_of_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", "<p>" * 50_000), (2, "u", "<!--")], "page_id bigint, url string, html string")
     assert [r["text"] for r in maintext.report(pages).collect()] == [""] * 4
