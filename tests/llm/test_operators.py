@@ -509,6 +509,17 @@ def test_the_query_hands_out_offending_sentences(spark, monkeypatch):
     assert found == {1: f"{text.index(' You')},{text.index(' A grobian')}", 2: "", 3: ""}
 
 
+@pytest.mark.parametrize("most", [1, 7, 40, 5000])
+def test_the_sample_is_that_of_smallest_hashes(spark, most):
+    """A language with nearly all rows, one with few, and none without rows."""
+    rows = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 100 = 3, 'b', 'a') AS lang")
+    rows = rows.unionByName(spark.createDataFrame([(None, "a")] * 5 + [(None, "c")], "doc_id bigint, lang string"))
+    hashed = rows.where("doc_id IS NOT NULL").selectExpr("lang", "xxhash64('sample', doc_id) AS h", "doc_id").collect()
+    want = {(r["doc_id"], x) for x in "ab" for r in sorted((r for r in hashed if r["lang"] == x), key=lambda r: r["h"])[:most]}
+    found = [(r["doc_id"], r["lang"]) for r in langid._drawn(rows, most).collect()]
+    assert len(found) == len(want) and set(found) == want
+
+
 def test_unseen_words_fall_back():
     rows = [("de", "schule schulen haus"), ("en", "school schools house")]
     import pandas as pd

@@ -111,6 +111,27 @@ def _counts(sample: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "n", "term").agg(F.sum("count").alias("count"))
 
 
+def _drawn(rows: DataFrame, most: int) -> DataFrame:
+    """`doc_id`, `lang` of at most `most` documents per language, those of smallest hash of their id.
+
+    Rows are counted by the first 12 bits of the hash and cut after the one in which `most` is
+    reached, then by 24 bits, so that a task ranks little more than `most` rows of a language,
+    however many it has. Repeated rows count once each in the first cut and are one afterwards; NULL ids
+    are never drawn.
+    """
+    left = rows.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("hash", F.xxhash64(F.lit("sample"), "doc_id"))
+    for bits in (12, 24):
+        prefix = F.shiftright("hash", 64 - bits)
+        counts = left.groupBy("lang", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(Window.partitionBy("lang").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
+        reached = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < most)
+        # a written table has a known size: Spark broadcasts it unless there are very many languages
+        cut = stored(reached.groupBy("lang").agg(F.max("prefix").alias("last")), "cut")
+        left = left.join(cut, "lang").where(prefix <= F.col("last")).select("doc_id", "lang", "hash").distinct()
+    at = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
+    return left.withColumn("at", at).where(F.col("at") <= most).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame) -> Model:
     """Frequencies from the documents with a language and a crc32(doc_id) mod 3 other than 1.
 
@@ -118,10 +139,7 @@ def fit(docs: DataFrame) -> Model:
     words and n-grams kept of each language, the most frequent; only those reach the driver.
     """
     rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & (remainder("doc_id", 3) != 1))
-    drawn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id"))
-    ids = rows.select("doc_id", "lang").withColumn("at", drawn).where(F.col("at") <= DOCS_PER_LANGUAGE)
-    # one row per sampled document, at most DOCS_PER_LANGUAGE for each language
-    chosen = stored(ids.select("doc_id", "lang").distinct(), "sample")
+    chosen = stored(_drawn(rows, DOCS_PER_LANGUAGE), "sample")
     counts = stored(_counts(rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")), "counts")
     totals = counts.groupBy("lang", "n").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("kinds")).toPandas()
     best = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "term"))
