@@ -1,9 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from tradevigil.operators import investigation, report
+from tradevigil.operators.features import PROXIMITY_COLUMNS
 from tradevigil.operators.investigation import iq_trades
+from tradevigil.operators.joins import counted_grid, named, not_yet_in, numbered, ordered_numbers, pair_join
+from tradevigil.plans import registry
 
 
 def with_hot_client(store):
@@ -143,3 +147,37 @@ def test_running_count_of_repeated_and_missing_ids(spark, views):
     assert counts(["a", "a", "a", "b", "c", "d"]) == [("a", 1), ("a", 2), ("a", 3), ("b", 4), ("c", 5), ("d", 6)]
     assert counts([None, "b"]) == [("", 1), ("b", 2)]
     assert [n for _, n in counts(["a"] * 5 + ["b"] * 5 + ["c"])] == [1, 2, 3, 4, 5, 6, 7, 8, 8, 8, 8]
+
+
+def test_numbers_keep_the_order_of_values(spark):
+    rows = spark.createDataFrame([("t10", 1), ("t2", 2), (None, 3), ("t1", 4), ("t2", 5)], "trade_id string, x int")
+    numbers = spark.createDataFrame(ordered_numbers(rows, "trade_id").collect(), "trade_id string, number long")
+    assert [r["trade_id"] for r in numbers.orderBy("number").collect()] == ["t1", "t10", "t2"]
+    back = named(numbered(rows, numbers, "trade_id"), numbers, "trade_id", ["trade_id"])
+    assert sorted(map(tuple, back.select("trade_id", "x").collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", ["iq_events_by_event", "iq_events_grown", "iq_events_incremental", "entity_event_by_event", "client_network_by_link"])
+def test_pair_rows_are_folded_without_sorting_them(views, name):
+    """First and last of a text would need every pair sorted, on disk: folds are hash aggregates."""
+    assert "SortAggregate" not in registry.QUERIES[name](views)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_pairs_are_compared_only_where_some_are_missing(spark):
+    base = spark.createDataFrame([("t1", "A"), ("t2", "A"), ("t2", "A"), (None, "A"), ("t3", "B")], "trade_id string, underlying string")
+    proximity = base.select("trade_id").distinct().where("trade_id IS NOT NULL").selectExpr("trade_id", *[f"1 AS {c}" for c in PROXIMITY_COLUMNS])
+    rows = [("e1", "A"), ("e2", "A"), ("e2", "B"), ("e3", "C"), ("e4", "B"), (None, "A"), ("e5", None), ("e5", None)]
+    events = spark.createDataFrame(rows, "event_id string, underlying string").selectExpr("*", "'x' AS event_type", "DATE '2024-01-01' AS event_date")
+    every = investigation.iq_events(events, base, proximity)
+    for kept in ("true", "event_id = 'e2'", "event_id IN ('e1', 'e3') OR trade_id = 't3'", "event_id IS NULL OR trade_id IS NULL", "trade_id = 't2'", "false"):
+        stored = every.where(kept)
+        got = investigation.iq_events(events, base, proximity, existing=stored)
+        plain = not_yet_in(every, stored, ["trade_id", "event_id"])
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_cells_are_not_gathered_into_one_task(spark):
+    left, right = (spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias(c)) for c in ("a", "b"))
+    grid = counted_grid(left, right, ["k"], 100_000)
+    text = pair_join(left, right, ["k"], ["a"], ["b"], grid)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("REPARTITION_BY_NUM") == 2
