@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tradevigil.operators import investigation, report
+from tradevigil.operators import features, investigation, report
 from tradevigil.operators.features import PROXIMITY_COLUMNS
 from tradevigil.operators.investigation import iq_trades
 from tradevigil.operators.joins import counted_grid, named, not_yet_in, numbered, ordered_numbers, pair_join
@@ -181,3 +181,42 @@ def test_cells_are_not_gathered_into_one_task(spark):
     grid = counted_grid(left, right, ["k"], 100_000)
     text = pair_join(left, right, ["k"], ["a"], ["b"], grid)._jdf.queryExecution().executedPlan().toString()
     assert text.count("REPARTITION_BY_NUM") == 2
+
+
+def test_first_trades_are_listed_once_per_client(views):
+    """Not again for each of a client's underlyings: seven trades at most come back over all its rows."""
+    stats = investigation.client_trade_stats(investigation.with_place(views.store))
+    listed = stats.groupBy("client_id").agg(F.sum(F.size(F.coalesce("first_trades", F.array()))).alias("n"), F.count("*").alias("pairs"))
+    assert listed.where("pairs > 1").count() > 0
+    assert listed.where("n > 7").count() == 0
+
+
+def test_wide_trades_are_shuffled_once(spark, views):
+    """Only one shuffle of the store's join carries a column that the measures do not need."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = views.store_plan()._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide, nodes = 0, [plan]
+    while nodes:
+        node = nodes.pop()
+        node = node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else node
+        if node.nodeName() == "Exchange" and "desk#" in node.output().toString():
+            wide += 1
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert wide == 1
+
+
+def test_store_of_repeated_and_missing_keys(spark, views, same_rows):
+    base = views.base.limit(6).withColumn("n", F.row_number().over(Window.orderBy("trade_id")))
+    base = base.withColumn("trade_id", F.when(F.col("n") > 4, F.lit(None)).otherwise(F.lit("t"))).withColumn(
+        "client_id", F.when(F.col("n") % 2 == 0, F.lit("c")).when(F.col("n") == 3, F.lit("d"))
+    ).localCheckpoint()
+    hop1 = spark.createDataFrame([("c", 1), ("c", 2), (None, 3)], "client_id string, x int").selectExpr("client_id", *[f"x AS {c}" for c in features.HOP1_COLUMNS])
+    hop3 = spark.createDataFrame([("c", 1), ("e", 2)], "client_id string, x int").selectExpr("client_id", *[f"x AS {c}" for c in features.HOP3_COLUMNS])
+    near = spark.createDataFrame([("t", 1), (None, 2)], "trade_id string, x int").selectExpr("trade_id", *[f"x AS {c}" for c in PROXIMITY_COLUMNS])
+    got = features.feature_store(base, hop1, hop3, near)
+    plain = base.join(hop1.join(hop3, "client_id", "full"), "client_id", "left").join(near, "trade_id", "left")
+    shown = ["n", "trade_id", "client_id", "desk", *features.HOP1_COLUMNS, *features.HOP3_COLUMNS, *PROXIMITY_COLUMNS]
+    same_rows(got.select(*shown), plain.select(*shown))
