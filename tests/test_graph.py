@@ -151,3 +151,33 @@ def test_exposure_beyond_the_rounded_amount(spark):
     rows = spark.createDataFrame([("c", "U", None, 1e20, 1, None), ("c", "U", None, 5.0, 2, None)], schema)
     assert float(graph.client_exposure(rows).first()["exposure"]) == 1e20 + 5
     assert graph.hot_instruments(rows).first()["total_exposure"] == 1e20
+
+
+def ring(spark):
+    """Each of 200 clients is linked to the next two, so no key is hot."""
+    links = [(f"c{i}", f"c{(i + k) % 200}", "F") for i in range(200) for k in (1, 2)]
+    return spark.createDataFrame(links, EDGE)
+
+
+def tasks_of(df, key):
+    """Of each key, the tasks that made its rows."""
+    placed = df.select(F.col(key), F.spark_partition_id().alias("task")).distinct().collect()
+    return [sorted(r["task"] for r in placed if r[key] == k) for k in {r[key] for r in placed}]
+
+
+def test_walks_without_hot_keys_are_dealt_by_their_number(spark, same_rows):
+    edges = ring(spark)
+    by_peer = graph.reachable(edges, pairs_per_task=1000, by_peer=True)
+    same_rows(by_peer, graph.reachable(edges))
+    found = tasks_of(by_peer, "peer")
+    assert all(len(tasks) == 1 for tasks in found) and len({t[0] for t in found}) == 4
+    trades = spark.range(400).selectExpr(
+        "concat('t', id) AS trade_id", "concat('c', id % 200) AS client_id", "concat('U', id % 3) AS underlying", "1 AS days_to_next_event",
+        "CAST(id AS DECIMAL(20,2)) AS notional", "CAST(id AS DOUBLE) AS notional1", "DATE '2024-01-01' AS trade_date",
+    )
+    named = trades.select("underlying").distinct()
+    clusters = graph.event_clusters(edges, trades, named, pairs_per_task=5000)
+    found = tasks_of(clusters, "root_client")
+    assert all(len(tasks) == 1 for tasks in found) and len({t[0] for t in found}) > 1
+    same_rows(clusters, graph.event_clusters(edges, trades, named))
+    same_rows(clusters, graph.event_clusters(edges, trades, named, pairs_per_task=1))
