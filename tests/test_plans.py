@@ -56,3 +56,19 @@ def test_hub_is_cut_into_cells(spark):
     assert "grid_row" in text and "grid_col" in text
     assert "grid_row" not in plan(graph.reachable(links, max_hops=2))
     assert graph.reachable(links, max_hops=2, pairs_per_task=5_000).count() == graph.reachable(links, max_hops=2).count()
+
+
+def test_tasks_hold_few_rows_and_joins_sort_none(spark):
+    """A narrow aggregate's task gets a bounded number of bytes; a join with small partitions sorts no side."""
+    sides = [spark.range(1_000_000, numPartitions=4).select(F.col("id").alias("k"), F.xxhash64("id", F.lit(i)).alias(f"v{i}")) for i in (0, 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = sides[0].join(sides[1], "k")
+        assert joined.agg(F.count("v0")).first()[0] == 1_000_000
+        done = joined.agg(F.count("v0"))
+        done.collect()
+        text = plan(done).split("== Initial Plan ==")[0]
+        assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
