@@ -276,3 +276,16 @@ def test_rows_sent_twice(spark, database):
         feeds.load_feed(spark, "clients", folder, database)
     assert [r["risk_rating"] for r in Stages(spark, database).dimension("clients").collect()] == ["High"]
     assert features.client_hop1(Stages(spark, database).dimension("clients"), feeds.feed_table(spark, "relationships", database)).count() == 1
+
+
+def test_the_state_of_a_batch_is_made_once(spark, third, same_rows):
+    """Measuring new trades reads their stored state: it is not made anew for each figure of it."""
+    store, (a, b, c) = third
+    folder = tempfile.mkdtemp(prefix="tradevigil-once-")
+    c.write.parquet(f"{folder}/new")
+    fresh, old = spark.read.parquet(f"{folder}/new"), state_of(a.unionByName(b))
+    batch = client_state.batch_state(fresh)
+    for state in (old, None):
+        rows = client_state.iq_trades_increment(fresh, state, batch)
+        assert plan(rows).count(f"{folder}/new") == 1 and plan(rows).count("WindowGroupLimit") <= 2
+        same_rows(rows, client_state.iq_trades_increment(fresh, old if state is not None else old.limit(0)))

@@ -8,6 +8,7 @@ from tradevigil.operators.joins import (
     one_per_key,
     pair_join,
     pair_left_join,
+    repeats_settled,
     rows_per_key,
 )
 
@@ -72,3 +73,12 @@ def test_one_per_key_latest_and_smallest(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 5, "z"), (None, 1, "n")], "k string, ts int, v string")
     assert sorted(tuple(r) for r in one_per_key(df.where("k IS NOT NULL"), ["k"], "ts").collect()) == [("a", 2, "y"), ("b", 5, "z")]
     assert sorted(tuple(r) for r in one_per_key(df.where("k IS NOT NULL"), ["k"]).collect()) == [("a", 1, "x"), ("b", 5, "z")]
+
+
+def test_repeats_settled_equals_one_per_key_and_leaves_single_rows_unsorted(spark, same_rows):
+    rows = [("a", 2, "y"), ("a", 1, "x"), ("b", 5, None), (None, 3, "n"), (None, 2, None), ("c", None, "z"), ("c", None, "z")]
+    df = spark.createDataFrame(rows, "k string, n int, t string")
+    same_rows(repeats_settled(df, ["k"]), one_per_key(df, ["k"]))
+    single = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    same_rows(repeats_settled(single, ["k"]), single)
+    assert "Exchange" not in repeats_settled(single, ["k"])._jdf.queryExecution().executedPlan().toString()
