@@ -3,13 +3,16 @@
 import itertools
 import re
 import time
+import weakref
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradevigil.llm import components, langid, licences, maintext, mixing, ordermin, simhash, tokenfile, toxicity, warc, winnow, words
@@ -129,6 +132,34 @@ def test_words_are_forgotten_and_found_again(monkeypatch):
     assert len(own.known) <= 5 + 2  # letters and marks of the last word go before it
 
 
+def test_worker_keeps_the_words_of_one_run_only():
+    with open(corpus_pipeline.vocabulary(), encoding="utf-8") as file:
+        model = file.read()
+    first = tokenfile.tokenizer_of(model, "run 1")
+    first.ids("words of the first run")
+    assert tokenfile.tokenizer_of(model, "run 1") is first and len(first.known) == 5
+    other = tokenfile.tokenizer_of(model, "run 2")
+    assert other is not first and not other.known
+    gone = weakref.ref(other)
+    del other
+    tokenfile.forget()
+    assert gone() is None
+
+
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
+    text = "x" * 100_000
+    rows = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    simhash.fingerprints(rows, 4)
+    sizes = [r["n"] for r in rows.mapInArrow(run, "n bigint").collect()]
+    assert sum(sizes) == 300 and max(sizes) * len(text) <= 5_000_000
+
+
 def test_other_vocabularies_take_whole_texts():
     import json
 

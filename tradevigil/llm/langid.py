@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradevigil.llm.store import free_names, remainder, stored
+from tradevigil.session import small_batches
 
 #: The training sample: at most so many documents per language, those of smallest hash.
 DOCS_PER_LANGUAGE = 2500
@@ -138,6 +139,7 @@ def fit(docs: DataFrame) -> Model:
     The sample is bounded per language (`DOCS_PER_LANGUAGE`), the model by the number of
     words and n-grams kept of each language, the most frequent; only those reach the driver.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & (remainder("doc_id", 3) != 1))
     chosen = stored(_drawn(rows, DOCS_PER_LANGUAGE), "sample")
     counts = stored(_counts(rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")), "counts")
@@ -167,7 +169,7 @@ def _model(totals: pd.DataFrame, kept: pd.DataFrame) -> Model:
 
 def identified(spark: SparkSession, model: Model, text: Column) -> Column:
     """`lang_pred` and `score` of a text column, as a struct."""
-    shared = spark.sparkContext.broadcast((model.languages, model.tables, model.scores))
+    shared = small_batches(spark).sparkContext.broadcast((model.languages, model.tables, model.scores))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own, seen = Model(*shared.value), {}

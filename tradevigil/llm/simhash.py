@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tradevigil.llm import words
 from tradevigil.llm.components import components
 from tradevigil.llm.store import free_names, stored
+from tradevigil.session import small_batches
 
 #: A cell of an anchor's pairs has about so many homes and members at most.
 CELL_HOMES, CELL_MEMBERS = 4096, 32768
@@ -60,6 +61,7 @@ def simhash(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """`doc_id`, `text_key` (hash of the text, NULL as empty) and `fp` of each row."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text"
     )

@@ -14,11 +14,11 @@ rows of Parquet files, beside the ids and lengths of their documents. A block's
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import struct
 import sys
+import uuid
 import zlib
 from collections.abc import Iterator
 from types import ModuleType
@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradevigil.session import scratch_path
+from tradevigil.session import scratch_path, small_batches
 
 SCALE = 20  # frequencies sum to 2**SCALE
 LOWER = np.uint64(1 << 31)  # states lie in [2**31, 2**63)
@@ -138,8 +138,8 @@ def symbols(freq: np.ndarray) -> np.ndarray:
 # ---- tokens ------------------------------------------------------------------
 
 
-#: Words that a worker process remembers; with one more it starts afresh.
-KNOWN_WORDS = 1_000_000
+#: Words that a worker process remembers, at about 360 bytes each; with one more it starts afresh.
+KNOWN_WORDS = 600_000
 _KEPT = "tradevigil_kept_tokenizers"
 _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # of ASCII, without the apostrophe, which starts endings
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -242,14 +242,21 @@ class WordTokenizer:
         return self.of_bytes((text or "").encode("utf-8", "surrogatepass"))
 
 
-def tokenizer_of(model: str) -> WordTokenizer:
-    """The tokenizer of a worker process, kept with its words from task to task."""
+def tokenizer_of(model: str, run: str) -> WordTokenizer:
+    """The tokenizer of a worker process, kept with its words from task to task of one run."""
     # a task may unpickle this module anew, while a module of its own name lasts as long as the worker
-    kept = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
-    key = hashlib.sha256(model.encode()).hexdigest()
-    if key not in kept:
-        kept[key] = WordTokenizer(model)
-    return kept[key]
+    kept = sys.modules.get(_KEPT)
+    if kept is None or kept.run != run:
+        del kept  # workers outlive runs; words of several runs would add up
+        forget()
+        kept = sys.modules[_KEPT] = ModuleType(_KEPT)
+        kept.run, kept.tokenizer = run, WordTokenizer(model)
+    return kept.tokenizer
+
+
+def forget() -> None:
+    """Drop a worker process's tokenizer and words."""
+    sys.modules.pop(_KEPT, None)
 
 
 _END = struct.pack("<I", END_ID)
@@ -259,6 +266,7 @@ def _counts(blocks: DataFrame) -> np.ndarray:
     """Occurrences of each id in the corpus; the list is as long as the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all texts are encoded
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for ids in batch.column(0):
@@ -278,7 +286,7 @@ def _counts(blocks: DataFrame) -> np.ndarray:
 def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
     """Blocks of the sorted corpus, not yet coded: `part` (range of the sort), `first_id`
     (ids before it in its part), `n_ids`, `doc_ids`, `lengths`, `ids`."""
-    spark = docs.sparkSession
+    spark, run_id = small_batches(docs.sparkSession), uuid.uuid4().hex
     with open(vocabulary, encoding="utf-8") as file:
         model = spark.sparkContext.broadcast(file.read())
     rows = docs.select(*dict.fromkeys([*order, "doc_id", "text"]), F.xxhash64("text").alias("_text"))
@@ -288,7 +296,7 @@ def blocks_of(docs: DataFrame, order: list[str], vocabulary: str) -> DataFrame:
     columns = ["part", "first_id", "n_ids", "doc_ids", "lengths", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, first = tokenizer_of(model.value), TaskContext.get().partitionId(), 0
+        tokenizer, part, first = tokenizer_of(model.value, run_id), TaskContext.get().partitionId(), 0
         owners: list = []
         held: list[bytes] = []
         size, ids_type = 0, pa.null()

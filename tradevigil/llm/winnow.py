@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tradevigil.llm import words
 from tradevigil.llm.store import stored
+from tradevigil.session import small_batches
 
 WINDOW, GRAM = 10, 5
 #: Bits of the filter that document hashes pass before the join: 512 kB, whatever the
@@ -137,6 +138,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     Documents' texts are read once and never shuffled: only runs that pass the items' filter
     move, with the words around them. Equal windows of many items are joined as one.
     """
+    small_batches(docs.sparkSession)
     known = stored(windows(items, window, gram), "windows")
     sizes = [r[0] for r in known.where(F.col("size") < window).select("size").distinct().collect()]
     rows = _meetings(docs, _filter(known), sorted(sizes), window, gram)
