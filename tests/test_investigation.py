@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from tradevigil.operators import features, investigation, report
 from tradevigil.operators.features import PROXIMITY_COLUMNS
 from tradevigil.operators.investigation import iq_trades
-from tradevigil.operators.joins import counted_grid, named, not_yet_in, numbered, ordered_numbers, pair_join
+from tradevigil.operators.joins import counted_grid, named, not_yet_in, numbered, ordered_numbers, pair_join, pair_left_join, row_numbers
 from tradevigil.plans import registry
 
 
@@ -163,6 +164,57 @@ def test_pair_rows_are_folded_without_sorting_them(views, name):
     assert "SortAggregate" not in registry.QUERIES[name](views)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize(
+    "name, keys",
+    [
+        ("iq_events_by_event", r"event_id#\d+L"),
+        ("iq_events_grown", r"event_id#\d+L"),
+        ("iq_events_incremental", r"event_id#\d+L"),
+        ("entity_event_by_event", r"event_id#\d+L"),
+        ("client_network_by_link", r"root_client#\d+L, trade_id#\d+L"),
+    ],
+)
+def test_pair_rows_are_folded_by_numbers(views, name, keys):
+    """Every pair row is looked up by its key: by numbers, not by texts."""
+    text = registry.QUERIES[name](views)._jdf.queryExecution().executedPlan().toString()
+    pairs = [line for line in text.splitlines() if "HashAggregate" in line and re.search("partial_sum|partial_count", line)]
+    assert any(re.search(rf"keys=\[{keys}\]", line) for line in pairs)
+    assert not any(re.search("event_type|relationship", line.split("functions=")[0]) for line in pairs)
+
+
+def test_row_numbers_tell_equal_rows_apart_from_others(spark):
+    rows = spark.createDataFrame([("a", None), ("a", None), (None, None), ("b", 1)], "k string, n int")
+    got = {(r["k"], r["n"]): r for r in row_numbers(rows).collect()}
+    assert {k: r["copies"] for k, r in got.items()} == {("a", None): 2, (None, None): 1, ("b", 1): 1}
+    assert len({r["number"] for r in got.values()}) == 3
+
+
+def test_padded_pairs_come_out_of_one_merged_join(spark, same_rows):
+    """Padded rows are not added by a union, above which every pair row would be copied; lonely keys are padded once."""
+    left = spark.range(4000).selectExpr("IF(id % 5 = 4, NULL, id % 5) AS k", "id AS a")
+    right = spark.range(3000).selectExpr("id % 3 AS k", "id AS b")
+    grid = counted_grid(left, right, ["k"], 100_000)
+    joined = pair_left_join(left, right, ["k"], ["a"], ["b"], grid)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in text and "SortMergeJoin" in text
+    plain = left.join(right, "k", "left")
+    for rows in (joined.where("b IS NULL"), joined.where("a < 50")):
+        assert rows.count() > 0
+    same_rows(joined.where("b IS NULL OR a < 50"), plain.where("b IS NULL OR a < 50"))
+    assert joined.count() == plain.count()
+
+
+def test_increment_can_be_folded_where_it_is_made(views, same_rows):
+    new, sold = F.col("event_type") == "Earnings Release", F.col("direction") == "SELL"
+    given = (views.events.where(new), views.events.where(~new), views.base.where(sold), views.base.where(~sold), views.proximity)
+
+    def fold(rows):
+        return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+    halves = investigation.iq_events_delta(*given, fold=fold).groupBy("event_id").agg(F.sum("n").alias("n"))
+    same_rows(halves, fold(investigation.iq_events_delta(*given)))
+
+
 def test_stored_pairs_are_compared_only_where_some_are_missing(spark):
     base = spark.createDataFrame([("t1", "A"), ("t2", "A"), ("t2", "A"), (None, "A"), ("t3", "B")], "trade_id string, underlying string")
     proximity = base.select("trade_id").distinct().where("trade_id IS NOT NULL").selectExpr("trade_id", *[f"1 AS {c}" for c in PROXIMITY_COLUMNS])
