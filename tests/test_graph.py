@@ -181,3 +181,27 @@ def test_walks_without_hot_keys_are_dealt_by_their_number(spark, same_rows):
     assert all(len(tasks) == 1 for tasks in found) and len({t[0] for t in found}) > 1
     same_rows(clusters, graph.event_clusters(edges, trades, named))
     same_rows(clusters, graph.event_clusters(edges, trades, named, pairs_per_task=1))
+
+
+def test_only_pairs_with_several_walks_meet_each_holding(spark, same_rows, monkeypatch):
+    """Measures are summed link by link; a peer reached in several ways, or in a loop, still counts once."""
+    edges = random_edges(11) + [("x", "c1", "F"), ("x", "c1", "S"), ("y", "x", "F"), ("c1", "z", "F"), ("z", "z", "S")]
+    links = spark.createDataFrame(edges, EDGE)
+    rows = [
+        (c, u, amount, days, day)
+        for i, c in enumerate(sorted({a for a, _, _ in edges} | {b for _, b, _ in edges}))
+        for u, amount, days, day in (("U1", 1e8 * i, i % 3, f"2024-01-{i + 1:02d}"), ("U2", None if i % 2 else -5.25, 1, None))
+        if (i + len(u)) % 5
+    ]
+    trades = spark.createDataFrame(rows, "client_id string, underlying string, notional1 double, days_to_next_event int, day string")
+    trades = trades.withColumn("trade_date", F.to_date("day"))
+    named = spark.createDataFrame([("U1",), ("U2",)], "underlying string")
+    for found in (graph.event_clusters, graph.coordinated_instrument_trading):
+        same_rows(found(links, trades, named), found(links, trades, named, pairs_per_task=1))
+
+    met = []
+    monkeypatch.setattr(graph, "_join_peers", lambda pairs, *rest, own=graph._join_peers: met.append(pairs) or own(pairs, *rest))
+    lone = spark.createDataFrame([("a", "b", "F"), ("b", "c", "F"), ("c", "d", "F"), ("a", "c", "F")], EDGE)
+    deals = trades.limit(1).select(F.explode(F.array(*map(F.lit, "abcd"))).alias("client_id"), *[c for c in trades.columns if c != "client_id"])
+    graph.event_clusters(lone, deals, named)
+    assert {(r["root"], r["peer"]) for r in met[0].collect()} == {("a", "c"), ("a", "d")}
